@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import surrogate_key
 from cairn.operators.reshape import explode_days, union_conformed
 
 _SALT, _SIDE = "__salt", "__side"
@@ -59,11 +58,13 @@ def nights_on_site(df: DataFrame, start: str, end: str, calendar: DataFrame, day
                    ) -> DataFrame:
     """Each interval once per calendar day in ``[start, end)``.
 
-    Days are generated from the interval and joined by equality, so there is no
-    range join over interval × calendar.
+    Days are generated from the interval, clipped to the calendar's range (two scalar
+    subqueries), and joined by equality: no range join over interval × calendar, and a
+    mistyped far-off date cannot blow an interval up.
     """
-    days = explode_days(df, F.col(start), F.date_sub(F.col(end), 1), day)
-    return days.join(calendar, day, "inner")
+    first = F.greatest(F.col(start), calendar.select(F.min(day)).scalar())
+    last = F.least(F.date_sub(F.col(end), 1), calendar.select(F.max(day)).scalar())
+    return explode_days(df, first, last, day).join(calendar, day, "inner")
 
 
 def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -143,10 +144,8 @@ def lookup_first(df: DataFrame, other: DataFrame, on: Mapping[str, str], order:
 
 def compare_totals(left: DataFrame, right: DataFrame, pairs: Mapping[str, str], digits: int = 2
                    ) -> DataFrame:
-    """The two one-row frames side by side when any pair of totals differs, else no row."""
-    differ = reduce(Column.__or__, [F.round(a, digits) != F.round(b, digits) for a, b in pairs.items()])
-    return left.crossJoin(right).where(differ)
-
-
-def with_key(df: DataFrame, name: str, *cols: str) -> DataFrame:
-    return df.withColumn(name, surrogate_key(*cols))
+    """The totals of two one-row frames as one row when any pair differs, else no row."""
+    both = union_conformed([left, right]).agg(
+        *[F.max(c).alias(c) for c in (*left.columns, *right.columns)])
+    differ = [F.round(a, digits) != F.round(b, digits) for a, b in pairs.items()]
+    return both.where(reduce(Column.__or__, differ))

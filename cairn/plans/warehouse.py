@@ -2,7 +2,8 @@
 
 Plain wiring: every model is a property that calls its function with the frames it
 needs. Nothing runs until a model is written or counted. ``store`` lists models to
-write once and read back, so that marts sharing them do not recompute them.
+write once and read back, so that marts sharing them do not recompute them. ``dates``
+is a frame of ``date_day`` for the calendar, ``as_of`` the day that ages are measured at.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from cairn.sources.sinks import materialize
 class Warehouse:
     def __init__(self, spark: SparkSession, load: Loader, regions: DataFrame,
                  codes: SystemCodes = SystemCodes(), as_of: Column | None = None,
-                 calendar: tuple[str, str] = m.CALENDAR, store: Iterable[str] = (),
+                 dates: DataFrame | None = None, store: Iterable[str] = (),
                  root: str | None = None) -> None:
         self.spark, self.load, self.regions, self.codes = spark, load, regions, codes
-        self.as_of, self.calendar, self.root = as_of, calendar, root
+        self.as_of, self.dates, self.root = as_of, dates, root
         self._store = frozenset(store)
 
     def staged(self, model: str) -> DataFrame:
@@ -124,7 +125,7 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return m.dim_date(self.spark, *self.calendar)
+        return m.dim_date(self.spark) if self.dates is None else m.calendar(self.dates)
 
     @cached_property
     def dim_assets(self) -> DataFrame:
