@@ -50,7 +50,7 @@ def prefer_source(df: DataFrame, key: Sequence[str | Column], source: str, ranks
 
 
 def golden_record(df: DataFrame, key: Column, merge: Sequence[str], source: str,
-                  ranks: Sequence[str], tie: str) -> DataFrame:
+                  ranks: Sequence[str], tie: Sequence[str]) -> DataFrame:
     """One merged row per key.
 
     The ``merge`` columns take the largest value of the whole group, even across
@@ -58,7 +58,8 @@ def golden_record(df: DataFrame, key: Column, merge: Sequence[str], source: str,
     aggregate with one shuffle, not several windows.
     """
     other = [c for c in df.columns if c not in merge]
-    rank = F.struct(source_rank(source, ranks).alias("r"), F.col(tie).isNull(), F.col(tie))
+    parts = [p for c in tie for p in (F.col(c).isNull(), F.col(c))]  # NULL last
+    rank = F.struct(source_rank(source, ranks), *parts)
     grouped = df.groupBy(key.alias("__key")).agg(
         F.min_by(F.struct(*other), rank).alias("__row"),
         *[F.max(c).alias(c) for c in merge],

@@ -44,7 +44,8 @@ def int_parks(geo: DataFrame, bookings: DataFrame, assets: DataFrame,
     """Three park registers merged on the cleaned name.
 
     The geographic register's row wins; acreage, class, region and the asset system's
-    id take the largest value of the whole name group.
+    id take the largest value of the whole name group. Ids of two registers can be
+    equal, so the system code decides last.
     """
     rows = union_conformed([
         geo.select(
@@ -74,7 +75,8 @@ def int_parks(geo: DataFrame, bookings: DataFrame, assets: DataFrame,
     merged = golden_record(
         rows, clean_string("name", fold_case),
         merge=["total_acres", "classification", "region_id", "infratrak_park_id"],
-        source="source_system", ranks=[codes.geo], tie="parks_sk")
+        source="source_system", ranks=[codes.geo],
+        tie=["parks_sk", "source_system"])
     return merged.select(
         "parks_sk", "accountnumber", "name", "description", *_address(), "source_system",
         "total_acres", "classification", "region_id", "infratrak_park_id")

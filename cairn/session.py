@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,14 +32,17 @@ def build_session(app: str = "cairn", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"cairn-{application_id}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written intermediate tables: the cluster's checkpoint folder.
+    """Folder of this application for written intermediate tables.
 
-    Only where the session names none (local tests) a fresh temporary folder is
-    made and recorded, so every later caller uses the same one.
+    It lies under the cluster's checkpoint folder (``spark.checkpoint.dir``). Only where
+    the session names none, as in local tests, is a temporary folder made.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="cairn-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    application_id = spark.sparkContext.applicationId
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{base.rstrip('/')}/{application_id}" if base else _local_dir(application_id)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def load_source(spark: SparkSession, root: str, system: str, table: str,
-                fmt: str = "parquet") -> DataFrame:
-    """One table of one source system, stored under ``root/system/table``."""
-    return spark.read.format(fmt).load(f"{root.rstrip('/')}/{system}/{table}")
+def load_source(spark: SparkSession, root: str, system: str, table: str, fmt: str = "parquet",
+                layout: str = "{root}/{system}/{table}") -> DataFrame:
+    """One table of one source system, found by the layout of the folder."""
+    path = layout.format(root=root.rstrip("/"), system=system, table=table)
+    return spark.read.format(fmt).load(path)
 
 
 def register_views(frames: dict[str, DataFrame]) -> None:
@@ -42,17 +43,24 @@ def _strings(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_catalog_dir(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+def catalog_files(spark: SparkSession, folder: str) -> list[str]:
+    """CSV files of a catalog folder. Only the names are read, not the contents."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    return sorted(r.path for r in files.select("path").collect())
+
+
+def load_catalog_dir(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Catalog CSV files with differing columns as one frame of strings.
 
-    Each file is read with its own header and the frames are united by column name;
-    columns a file does not have are NULL. ``_file`` and ``_row`` (position within the
-    frame's partitions) keep the original order addressable.
+    ``paths`` is a folder or a list of files (or of folders of equal files). Each is read
+    with its own header and the frames are united by column name; columns a file does
+    not have are NULL. ``_file`` and ``_row`` keep the original order addressable.
     """
+    listed = catalog_files(spark, paths) if isinstance(paths, str) else sorted(paths)
     frames = [
         _strings(spark, p).withColumns({
             "_file": F.lit(i), "_row": F.monotonically_increasing_id()})
-        for i, p in enumerate(sorted(paths))
+        for i, p in enumerate(listed)
     ]
     if not frames:
         raise ValueError("load_catalog_dir needs at least one file")

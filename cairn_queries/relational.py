@@ -389,7 +389,7 @@ def _(t: Tables) -> DataFrame:
                  F.lit("REV").alias("src"), F.col("s_nationkey").alias("nation")),
         s.select((F.col("s_suppkey") + 5).alias("id"), F.concat("s_name", F.lit(".")).alias("name"), F.lit("AST").alias("src"),
                  F.lit(100.0).alias("bal"), (F.col("s_nationkey") + 1).alias("nation"))])
-    return dedup.golden_record(rows, fn.clean_string("name"), ["bal", "nation"], "src", ["GEO"], "id")
+    return dedup.golden_record(rows, fn.clean_string("name"), ["bal", "nation"], "src", ["GEO"], ["id"])
 
 
 # --- sort, limit, top-k
