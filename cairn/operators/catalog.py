@@ -7,6 +7,7 @@ terms meet descriptions through equality joins on words.
 from __future__ import annotations
 
 import difflib
+import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from cairn.functions import pct
 from cairn.operators.aggregates import count_if, top_n
 from cairn.operators.filters import non_blank
+from cairn.sources.sinks import materialize
 
 # Thresholds, weights, and the word stems of the scores.
 COVERAGE_THRESHOLD = 50
@@ -26,6 +28,7 @@ SYNONYM_FACTOR, DESCRIPTION_FACTOR = 0.9, 0.8
 SCORE_WEIGHTS = {"synonym_score": 0.6, "description_score": 0.3, "column_bonus": 0.1}
 STEMS = ((r"^(.+)s$", 3), (r"^(.+)ing$", 5), (r"^(.+)tion$", 6))
 FUZZY_CUTOFF, SHORT_WORD = 0.8, 3
+NEAR_LIST = 1000
 WORD, LETTERS = "[a-z0-9]+", "[a-z]+"
 
 
@@ -96,56 +99,80 @@ def entity_ranking(matches: DataFrame, entity_column: str = "entity") -> DataFra
         F.desc("matches"), F.asc(entity_column))
 
 
-def _similar(keyword: str, cutoff: float):
-    """Arrow UDF: does each word reach the similarity ratio with the keyword?"""
-    @F.pandas_udf("boolean")
-    def close(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = difflib.SequenceMatcher()
-        matcher.set_seq2(keyword)
+def similar_words(vocabulary: DataFrame, keywords: dict[str, str], cutoff: float) -> DataFrame:
+    """Words that reach the similarity ratio with a keyword, with one flag per keyword.
 
-        def reaches(word: str) -> bool:
+    ``keywords`` maps keyword to flag name. One Arrow pass over the distinct words; only
+    the similar ones come back.
+    """
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matchers = {}
+        for keyword, flag in keywords.items():
+            matchers[flag] = difflib.SequenceMatcher()
+            matchers[flag].set_seq2(keyword)
+
+        def reaches(matcher: difflib.SequenceMatcher, word: str) -> bool:
             matcher.set_seq1(word)
+            # the two cheaper ratios are upper bounds of the exact one
             return (matcher.real_quick_ratio() >= cutoff and matcher.quick_ratio() >= cutoff
                     and matcher.ratio() >= cutoff)
 
-        for words in batches:
-            yield words.map(reaches).astype(bool)
+        for batch in batches:
+            for flag, matcher in matchers.items():
+                batch[flag] = [reaches(matcher, w) for w in batch["word"]]
+            yield batch[batch[list(matchers)].any(axis=1)]
 
-    return close
+    flags = "".join(f", {flag} boolean" for flag in keywords.values())
+    return vocabulary.select("word").mapInPandas(score, f"word string{flags}")
 
 
 def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str], cutoff: float = FUZZY_CUTOFF,
-                 all_words: bool = False, entity: str | None = None, entity_column: str = "entity") -> DataFrame:
+                 all_words: bool = False, entity: str | None = None, entity_column: str = "entity",
+                 near_list: int = NEAR_LIST) -> DataFrame:
     """Catalog rows whose text contains keywords or words much like them.
 
     Keywords with a blank or of at most three letters are matched as plain text. For the
     others the words of all texts are reduced to their distinct vocabulary first, so the
-    similarity runs once per word. The similar words then find their texts by equality
-    joins (Spark broadcasts the words or the found texts only when they are small), and
-    texts are told apart by their SHA-256, so copies of a text cost one entry.
+    similarity runs once per word; the similar words are stored and counted. Up to
+    ``NEAR_LIST`` of them are compared with each row's own words in place, without any
+    join. Beyond that the words find their texts by equality joins, and texts are told
+    apart by their SHA-256, so copies of a text cost one entry.
     """
     if not words:
         raise ValueError("search needs at least one keyword")
     keywords = [w.lower() for w in words]
     rows = catalog if entity is None else catalog.where(F.lower(entity_column) == entity.lower())
     text = search_text(fields)
+    row_words = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)))
     fuzzy = {k: f"__k{i}" for i, k in enumerate(keywords) if " " not in k and len(k) > SHORT_WORD}
+    similar = {k: F.lit(False) for k in keywords}
     if fuzzy:
-        used = rows.select(F.sha2(text, 256).alias("__id"), F.explode(F.array_distinct(
-            F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)))).alias("word")).where(
-            F.length("word") > SHORT_WORD)
-        scored = used.select("word").distinct().select(
-            "word", *[_similar(k, cutoff)("word").alias(flag) for k, flag in fuzzy.items()])
-        near = scored.where(reduce(Column.__or__, [F.col(flag) for flag in fuzzy.values()]))
-        hits = used.join(near, "word").groupBy("__id").agg(
-            *[F.max(flag).alias(flag) for flag in fuzzy.values()])
-        rows = rows.withColumn("__id", F.sha2(text, 256)).join(hits, "__id", "left")
-    tests = [
-        text.contains(k) | F.coalesce(F.col(fuzzy[k]), F.lit(False)) if k in fuzzy else text.contains(k)
-        for k in keywords]
+        vocabulary = rows.select(F.explode(row_words).alias("word")).where(
+            F.length("word") > SHORT_WORD).distinct()
+        near = materialize(similar_words(vocabulary, fuzzy, cutoff), f"near_{uuid.uuid4().hex}", "table")
+        if near.count() <= near_list:
+            found = near.collect()
+            for k, flag in fuzzy.items():
+                close = [F.lit(r["word"]) for r in found if r[flag]]
+                if close:
+                    similar[k] = F.arrays_overlap(row_words, F.array(*close))
+        else:
+            rows = _join_near_words(rows, text, row_words, near, list(fuzzy.values()))
+            similar.update({k: F.coalesce(F.col(flag), F.lit(False)) for k, flag in fuzzy.items()})
+    tests = [text.contains(k) | similar[k] for k in keywords]
     return rows.where(_combine(tests, all_words)).select(*catalog.columns)
 
 
+def _join_near_words(rows: DataFrame, text: Column, row_words: Column, near: DataFrame,
+                     flags: Sequence[str]) -> DataFrame:
+    """Rows with the flags of the similar words they contain."""
+    # id and words are computed per row before the words are exploded
+    listed = rows.select(F.sha2(text, 256).alias("__id"), row_words.alias("__words"))
+    used = listed.select("__id", F.explode("__words").alias("word"))
+    hits = used.join(near, "word").groupBy("__id").agg(*[F.max(flag).alias(flag) for flag in flags])
+    return rows.withColumn("__id", F.sha2(text, 256)).join(hits, "__id", "left")
+
+
 # --- scores
 
 def tokens(text: Column | str) -> Column:

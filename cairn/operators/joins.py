@@ -54,17 +54,26 @@ def lookup_on(df: DataFrame, dim: DataFrame, left_key: Column, right_key: str,
     return left_lookup(keyed, dim, {"__computed": right_key}, add).drop("__computed")
 
 
+def expand_nights(df: DataFrame, start: str, end: str, calendar: DataFrame, day: str = "full_date"
+                  ) -> DataFrame:
+    """Each interval once per day in ``[start, end)`` that lies within the calendar's range.
+
+    Days are generated from the interval, so no range join is needed. The range comes
+    from one scalar subquery and keeps a mistyped far-off date from blowing an interval
+    up. Days missing inside the calendar are left to an inner join with it, which callers
+    that aggregate do afterwards, on the small result.
+    """
+    span = calendar.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+    # greatest and least skip NULL, but an open interval has no nights
+    first = F.when(F.col(start).isNotNull(), F.greatest(F.col(start), span["lo"]))
+    last = F.when(F.col(end).isNotNull(), F.least(F.date_sub(F.col(end), 1), span["hi"]))
+    return explode_days(df, first, last, day)
+
+
 def nights_on_site(df: DataFrame, start: str, end: str, calendar: DataFrame, day: str = "full_date"
                    ) -> DataFrame:
-    """Each interval once per calendar day in ``[start, end)``.
-
-    Days are generated from the interval, clipped to the calendar's range (two scalar
-    subqueries), and joined by equality: no range join over interval × calendar, and a
-    mistyped far-off date cannot blow an interval up.
-    """
-    first = F.greatest(F.col(start), calendar.select(F.min(day)).scalar())
-    last = F.least(F.date_sub(F.col(end), 1), calendar.select(F.max(day)).scalar())
-    return explode_days(df, first, last, day).join(calendar, day, "inner")
+    """Each interval once per calendar day in ``[start, end)``, joined by equality."""
+    return expand_nights(df, start, end, calendar, day).join(calendar, day, "inner")
 
 
 def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -88,17 +88,20 @@ def top_values(counts: DataFrame, n: int = TOP_VALUES, sep: str = "|") -> DataFr
 def quick_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: totals, NULLs, distinct values, bounds, mean and top values."""
     columns = list(columns or df.columns)
-    basic = wide_stats(df, columns, {
-        "total_count": ("bigint", lambda c: F.count(F.lit(1))),
-        "null_count": ("bigint", lambda c: F.count(F.lit(1)) - F.count(c)),
+    typed = wide_stats(df, columns, {
         "min_val": ("string", F.min),
         "max_val": ("string", F.max),
         "avg_val": ("double", _mean_of(df)),
     })
+    # both uses need every column of the counts, so Spark shuffles them once and reuses them
     counts = melt_counts(df, columns)
-    distinct = counts.groupBy("column_name").agg(F.count("value").alias("distinct_count"))
-    return (basic.join(distinct, "column_name", "left").join(top_values(counts), "column_name", "left")
-            .withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
+    totals = counts.groupBy("column_name").agg(
+        F.sum("n").alias("total_count"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
+        F.count("value").alias("distinct_count"))
+    empty = {c: F.coalesce(c, F.lit(0)) for c in ("total_count", "null_count", "distinct_count")}
+    return (typed.join(totals, "column_name", "left").join(top_values(counts), "column_name", "left")
+            .withColumns(empty)
             .select("column_name", "total_count", "null_count", "distinct_count", "min_val", "max_val",
                     "avg_val", "top_values"))
 

@@ -94,6 +94,16 @@ def int_contacts(customers: DataFrame) -> DataFrame:
     )
 
 
+def contact_keys(customers: DataFrame) -> DataFrame:
+    """Id and key of every contact, from any versions of the customers.
+
+    ``int_contacts`` has one row per customer id, so facts that only need the key are
+    linked to this: one narrow distinct instead of picking every customer's newest row.
+    """
+    ids = customers.select(F.col("customer_id").cast("string").alias("contact_id")).distinct()
+    return ids.withColumn("contacts_sk", surrogate_key("contact_id"))
+
+
 def int_customer_assets(inventory: DataFrame, parks: DataFrame) -> DataFrame:
     """Bookable assets linked to their park by the padded park number."""
     named = keep_and_add(inventory, name=F.col("asset_id"))

@@ -29,11 +29,11 @@ from cairn.functions import (
 from cairn.operators.aggregates import by_month
 from cairn.operators.filters import valid_intervals
 from cairn.operators.joins import (
+    expand_nights,
     left_lookup,
     lookup_on,
     match_on_value,
     merge_aggregates,
-    nights_on_site,
 )
 from cairn.operators.reshape import date_spine, union_conformed
 from cairn.plans.codes import SystemCodes
@@ -164,19 +164,18 @@ def fct_park_occupancy_daily_snapshot(reservations: DataFrame, dates: DataFrame,
                                       ) -> DataFrame:
     """Park × night: reservations, guests and revenue of every stay on site.
 
-    The stays are expanded and aggregated on park and day only; calendar columns and
+    The stays are expanded and aggregated on park and day only; the calendar and the
     park labels join the small aggregate. A stay's full revenue counts on each night.
     """
-    on_site = nights_on_site(
-        valid_intervals(reservations, "check_in_date", "check_out_date"),
-        "check_in_date", "check_out_date", dates.select("full_date"))
+    stays = valid_intervals(reservations, "check_in_date", "check_out_date")
+    on_site = expand_nights(stays, "check_in_date", "check_out_date", dates)
     daily = on_site.groupBy("parks_sk", "full_date").agg(
         F.count("reservations_sk").alias("active_reservation_count"),
         F.sum("number_of_guests").cast("bigint").alias("total_guests_on_site"),
         F.sum("reservation_amount").alias("revenue"))
-    dated = left_lookup(daily, dates, ["full_date"], [
-        "calendar_year", "calendar_month", "calendar_quarter", "fiscal_year", "fiscal_month",
-        "day_name", "day_of_month"])
+    dated = daily.join(dates.select(
+        "full_date", "calendar_year", "calendar_month", "calendar_quarter", "fiscal_year",
+        "fiscal_month", "day_name", "day_of_month"), "full_date")
     named = left_lookup(dated, parks, ["parks_sk"], ["park_name", "region"])
     return named.select(
         surrogate_key("parks_sk", "full_date").alias("occupancy_snapshot_sk"),

@@ -48,6 +48,10 @@ class Warehouse:
         return self._keep("int_contacts", i.int_contacts(
             self.staged("stg_vistareserve__customer_profiles")))
 
+    @cached_property
+    def contact_keys(self) -> DataFrame:
+        return i.contact_keys(self.load("vistareserve", "customer_profiles"))
+
     @cached_property
     def int_customer_assets(self) -> DataFrame:
         return self._keep("int_customer_assets", i.int_customer_assets(
@@ -56,7 +60,7 @@ class Warehouse:
     @cached_property
     def transactions_linked(self) -> DataFrame:
         return self._keep("transactions_linked", i.transactions_linked(
-            self.staged("stg_vistareserve__pos_transactions"), self.int_contacts, self.int_parks))
+            self.staged("stg_vistareserve__pos_transactions"), self.contact_keys, self.int_parks))
 
     @cached_property
     def int_transactions(self) -> DataFrame:
@@ -65,7 +69,7 @@ class Warehouse:
     @cached_property
     def visits_linked(self) -> DataFrame:
         return self._keep("visits_linked", i.visits_linked(
-            self.staged("stg_vistareserve__reservations"), self.int_contacts,
+            self.staged("stg_vistareserve__reservations"), self.contact_keys,
             self.int_customer_assets))
 
     @cached_property
