@@ -123,7 +123,10 @@ def similar_words(vocabulary: DataFrame, keywords: dict[str, str], cutoff: float
             yield batch[batch[list(matchers)].any(axis=1)]
 
     flags = "".join(f", {flag} boolean" for flag in keywords.values())
-    return vocabulary.select("word").mapInPandas(score, f"word string{flags}")
+    # the ratio's length bound, so words that are much too short or long never reach Python
+    size = F.length("word")
+    in_reach = [2.0 * F.least(size, F.lit(len(k))) / (size + len(k)) >= cutoff for k in keywords]
+    return vocabulary.select("word").where(reduce(Column.__or__, in_reach)).mapInPandas(score, f"word string{flags}")
 
 
 def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str], cutoff: float = FUZZY_CUTOFF,
@@ -190,7 +193,7 @@ def tokens(text: Column | str) -> Column:
 
 def _by_token(df: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
     """One row per token, with the size of the row's token set."""
-    listed = df.select(*keep, tokens(text).alias("__t"))
+    listed = df.select(*keep, tokens(F.col(text)).alias("__t"))
     return listed.select(*keep, F.size("__t").alias(f"__n_{text}"), F.explode("__t").alias("token"))
 
 
@@ -224,13 +227,15 @@ def description_match(concepts: DataFrame, entities: DataFrame) -> DataFrame:
     """Share of a concept's tokens that occur in an entity's description.
 
     ``concepts``: (concept); ``entities``: (entity, description). Word sets are built per
-    description, so long texts cost their distinct words only.
+    description, so long texts cost their distinct words only. Pairs are counted under
+    the concept's 16-byte digest; its text is attached to the result.
     """
-    left = _by_token(concepts.select("concept").distinct(), ["concept"], "concept")
+    asked = concepts.select("concept").distinct().withColumn("__id", F.unhex(F.md5("concept")))
+    left = _by_token(asked, ["__id"], "concept")
     right = _by_token(entities, ["entity"], "description").drop("__n_description")
-    shared = left.join(right, "token").groupBy("concept", "entity", "__n_concept").agg(F.count("*").alias("k"))
+    shared = left.join(right, "token").groupBy("__id", "entity", "__n_concept").agg(F.count("*").alias("k"))
     score = F.round(F.col("k") / F.greatest("__n_concept", F.lit(1)) * DESCRIPTION_FACTOR, 3)
-    return shared.select("concept", "entity", score.alias("description_score"))
+    return shared.join(asked, "__id").select("concept", "entity", score.alias("description_score"))
 
 
 def combined_score(synonym: DataFrame, description: DataFrame, column_bonus: float = 0.0) -> DataFrame:

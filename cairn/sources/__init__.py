@@ -8,9 +8,10 @@ from cairn.sources.readers import (
     load_seed,
     load_source,
     register_views,
+    spread,
 )
 from cairn.sources.sinks import export, materialize
 
 __all__ = ["catalog_files", "describe", "entity_descriptions", "export", "list_tables",
            "load_catalog_dir", "load_seed", "load_source", "materialize", "register_views", "sample",
-           "table_overview"]
+           "spread", "table_overview"]

@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairn.sources import spread
+
 MONTHS = "January,February,March,April,May,June,July,August,September,October,November,December"
 STATES = "MA,CT,RI,NH,VT,ME,NY,NJ,PA,OH,MI,IN,IL,WI,CA,OR,WA,NV,ID,TX,FL,GA,NC,SC,ZZ"
 
@@ -417,6 +419,10 @@ def raw_sql(name: str) -> str:
     return " union all ".join(parts)
 
 
+# Tables that grow with the scale; each may come as one file with one row group.
+LARGE = ("orders", "lineitem", "events", "documents", "pages", "conversations", "customer", "part")
+
+
 class Tables:
     """Driver tables and derived source tables of one scale folder."""
 
@@ -427,7 +433,8 @@ class Tables:
     def __getattr__(self, table: str) -> DataFrame:
         if table.startswith("_"):
             raise AttributeError(table)
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return spread(df) if table in LARGE else df
 
     def raw(self, name: str) -> DataFrame:
         parts = [
