@@ -13,8 +13,14 @@ NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 SEPARATOR = "-"
 
 
-def _part(c: Column | str) -> Column:
-    return F.coalesce(as_column(c, "surrogate_key").cast("string"), F.lit(NULL_TOKEN))
+def _part(c: Column) -> Column:
+    return F.coalesce(c.cast("string"), F.lit(NULL_TOKEN))
+
+
+def surrogate_key_sql(*names: str) -> str:
+    """The key of named columns as a SQL expression."""
+    parts = [f"coalesce(cast(`{n}` as string), '{NULL_TOKEN}')" for n in names]
+    return f"md5(concat_ws('{SEPARATOR}', {', '.join(parts)}))"
 
 
 def surrogate_key(*cols: Column | str) -> Column:
@@ -25,7 +31,9 @@ def surrogate_key(*cols: Column | str) -> Column:
     """
     if not cols:
         raise ValueError("surrogate_key needs at least one column")
-    return F.md5(F.concat_ws(SEPARATOR, *[_part(c) for c in cols]))
+    if all(isinstance(c, str) and c.strip() for c in cols):
+        return F.expr(surrogate_key_sql(*cols))
+    return F.md5(F.concat_ws(SEPARATOR, *[_part(as_column(c, "surrogate_key")) for c in cols]))
 
 
 def salted_key(literal: str, *cols: Column | str) -> Column:

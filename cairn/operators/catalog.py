@@ -155,10 +155,12 @@ def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str]
         near = materialize(similar_words(vocabulary, fuzzy, cutoff), f"near_{uuid.uuid4().hex}", "table")
         if near.count() <= near_list:
             found = near.collect()
-            for k, flag in fuzzy.items():
-                close = [F.lit(r["word"]) for r in found if r[flag]]
-                if close:
-                    similar[k] = F.arrays_overlap(row_words, F.array(*close))
+            close = {k: [r["word"] for r in found if r[flag]] for k, flag in fuzzy.items()}
+            if not all_words:  # any similar word will do: look at each row's words once
+                close = {next(iter(fuzzy)): [r["word"] for r in found]}
+            for k, near_words in close.items():
+                if near_words:
+                    similar[k] = F.arrays_overlap(row_words, F.array(*[F.lit(w) for w in near_words]))
         else:
             rows = _join_near_words(rows, text, row_words, near, list(fuzzy.values()))
             similar.update({k: F.coalesce(F.col(flag), F.lit(False)) for k, flag in fuzzy.items()})

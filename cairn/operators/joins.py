@@ -30,21 +30,21 @@ def left_lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str] | Sequence[
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     add = [c for c in dim.columns if c not in pairs.values()] if add is None else list(add)
 
-    def comparable(c: str) -> Column:
-        return F.col(c).cast("string") if cast else F.col(c)
+    def comparable(c: str) -> str:
+        return f"cast(`{c}` as string)" if cast else f"`{c}`"
 
-    right = dim.select(
-        *[comparable(r).alias(f"__k{i}") for i, r in enumerate(pairs.values())],
-        *[F.col(c).alias(f"__a{i}") for i, c in enumerate(add)],
+    right = dim.selectExpr(
+        *[f"{comparable(r)} as __k{i}" for i, r in enumerate(pairs.values())],
+        *[f"`{c}` as __a{i}" for i, c in enumerate(add)],
     )
     left = df
-    conditions = [comparable(c) == F.col(f"__k{i}") for i, c in enumerate(pairs)]
+    conditions = [f"{comparable(c)} = __k{i}" for i, c in enumerate(pairs)]
     if salts > 1:
         left = df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
         right = right.withColumn("__dim_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-        conditions.append(F.col(_SALT) == F.col("__dim_salt"))
-    joined = left.join(right, reduce(Column.__and__, conditions), "left")
-    return joined.select(*df.columns, *[F.col(f"__a{i}").alias(c) for i, c in enumerate(add)])
+        conditions.append(f"{_SALT} = __dim_salt")
+    joined = left.join(right, F.expr(" and ".join(conditions)), "left")
+    return joined.selectExpr(*[f"`{c}`" for c in df.columns], *[f"__a{i} as `{c}`" for i, c in enumerate(add)])
 
 
 def lookup_on(df: DataFrame, dim: DataFrame, left_key: Column, right_key: str,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.functions import surrogate_key
+from cairn.functions.keys import surrogate_key_sql
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,10 @@ class StagingSpec:
         return self.renames.get(column, column)
 
 
+def _cast_sql(column: str, data_type: str, name: str) -> str:
+    return f"cast(`{column}` as {data_type}) as `{name}`"
+
+
 def cast_columns(df: DataFrame, types: Mapping[str, str], renames: Mapping[str, str] | None = None
                  ) -> DataFrame:
     """Every listed column cast to its type and renamed; other columns are dropped.
@@ -40,16 +44,18 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], renames: Mapping[str,
     Casts follow the session's ANSI setting: bad input raises when it is on.
     """
     renames = renames or {}
-    return df.select(*[F.col(c).cast(t).alias(renames.get(c, c)) for c, t in types.items()])
+    return df.selectExpr(*[_cast_sql(c, t, renames.get(c, c)) for c, t in types.items()])
 
 
 def stage(df: DataFrame, spec: StagingSpec) -> DataFrame:
     """Apply a staging spec: one projection, rows unchanged."""
-    derived = spec.derived() if spec.derived else {}
-    return df.select(
-        surrogate_key(spec.key).alias(spec.hash_key),
-        *[F.col(c).cast(t).alias(spec.output_name(c)) for c, t in spec.columns.items()],
-        *[expr.alias(name) for name, expr in derived.items()],
+    derived = dict(spec.derived()) if spec.derived else {}
+    if derived:
+        df = df.withColumns({f"__new_{name}": expr for name, expr in derived.items()})
+    return df.selectExpr(
+        f"{surrogate_key_sql(spec.key)} as `{spec.hash_key}`",
+        *[_cast_sql(c, t, spec.output_name(c)) for c, t in spec.columns.items()],
+        *[f"`__new_{name}` as `{name}`" for name in derived],
     )
 
 

@@ -17,36 +17,33 @@ def load_source(spark: SparkSession, root: str, system: str, table: str, fmt: st
     return spark.read.format(fmt).load(path)
 
 
-_PIECES: dict[tuple[str, ...], tuple[int, int]] = {}
-
+SMALL_BYTES = 1 << 20
 
-def _pieces(df: DataFrame, files: tuple[str, ...]) -> tuple[int, int]:
-    """Readable pieces of a few files and their bytes; footers only, asked once per file set."""
-    key = (df.sparkSession.sparkContext.applicationId, *files)
-    if key not in _PIECES:
-        found = df.select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_size").distinct().collect()
-        _PIECES[key] = (len(found), sum({r["file_path"]: r["file_size"] for r in found}.values()))
-    return _PIECES[key]
 
+def under_split(df: DataFrame) -> bool:
+    """Is a freshly read table kept in fewer readable pieces than there are task slots?
 
-SMALL_BYTES = 1 << 20
+    A Parquet file can only be read in as many tasks as it has row groups. Tables of many
+    files are answered from the file list; for few files one small job reads footers.
+    Tables under 1 MB never count.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= slots:
+        return False
+    found = df.select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_size").distinct().collect()
+    size = sum({r["file_path"]: r["file_size"] for r in found}.values())
+    return len(found) < slots and size >= SMALL_BYTES
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, needed: bool | None = None) -> DataFrame:
     """Rows of an under-split table dealt out over all task slots.
 
-    A Parquet file can only be read in as many tasks as it has row groups. A table kept
-    in fewer pieces than there are slots would run everything up to its first shuffle
-    in a few tasks, so its rows are dealt out evenly first (columns and filters still
-    reach the scan). Tables of many files, many row groups or under 1 MB are returned
-    unchanged, so large data never pays for it. Call it on a freshly read table.
+    Without it everything up to the first shuffle would run in a few tasks. Columns and
+    filters still reach the scan, and well-split tables are returned unchanged, so large
+    data never pays for it. ``needed`` passes on an earlier answer of ``under_split``.
     """
-    files = tuple(sorted(df.inputFiles()))
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(files) >= slots:
-        return df
-    pieces, size = _pieces(df, files)
-    return df if pieces >= slots or size < SMALL_BYTES else df.repartition(slots)
+    needed = under_split(df) if needed is None else needed
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if needed else df
 
 
 def register_views(frames: dict[str, DataFrame]) -> None:

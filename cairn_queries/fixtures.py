@@ -11,8 +11,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from cairn.sources import spread
+from cairn.sources import spread, under_split
 
 MONTHS = "January,February,March,April,May,June,July,August,September,October,November,December"
 STATES = "MA,CT,RI,NH,VT,ME,NY,NJ,PA,OH,MI,IN,IL,WI,CA,OR,WA,NV,ID,TX,FL,GA,NC,SC,ZZ"
@@ -419,22 +420,34 @@ def raw_sql(name: str) -> str:
     return " union all ".join(parts)
 
 
-# Tables that grow with the scale; each may come as one file with one row group.
-LARGE = ("orders", "lineitem", "events", "documents", "pages", "conversations", "customer", "part")
+# Schema and split of a table's file, asked once per application and path.
+_KNOWN: dict[tuple[str, str], tuple[StructType, bool]] = {}
 
 
 class Tables:
-    """Driver tables and derived source tables of one scale folder."""
+    """Driver tables and derived source tables of one scale folder.
+
+    The tables come as one file each, mostly with one row group, so rows of the larger
+    ones are dealt out over the task slots.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, table: str) -> DataFrame:
         if table.startswith("_"):
             raise AttributeError(table)
-        df = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
-        return spread(df) if table in LARGE else df
+        if table not in self._read:
+            path = f"{self.sf_dir}/{table}.parquet"
+            key = (self.spark.sparkContext.applicationId, path)
+            if key not in _KNOWN:
+                df = self.spark.read.parquet(path)
+                _KNOWN[key] = (df.schema, under_split(df))
+            schema, needs_spread = _KNOWN[key]
+            self._read[table] = spread(self.spark.read.schema(schema).parquet(path), needs_spread)
+        return self._read[table]
 
     def raw(self, name: str) -> DataFrame:
         parts = [
