@@ -205,24 +205,32 @@ def synonym_match(concepts: DataFrame, synonyms: DataFrame) -> DataFrame:
     ``concepts``: (concept); ``synonyms``: (synonym, entity, note, position). Equal
     phrases score 1, otherwise shared tokens count against the larger token set. Per
     concept and entity the *first* matching synonym in list order decides, even where a
-    later one would score higher. Repeated (synonym, entity) rows are reduced to their
-    first before any pairing.
+    later one would score higher.
+
+    The first match of an entity is the smallest of the first matches of the concept's
+    tokens, so the list is reduced to one position per (token, entity) before it meets
+    the concepts: a token shared by many concepts and many synonyms makes no pairs of
+    them. Only the winners are scored.
     """
-    asked = concepts.select("concept").distinct().withColumn("__phrase", F.trim(F.lower("concept")))
-    listed = synonyms.withColumn("__syn", F.trim(F.lower("synonym"))).groupBy("__syn", "entity").agg(
-        F.min("position").alias("position"), F.min_by("note", "position").alias("note"))
-    equal = asked.join(listed, F.col("__phrase") == F.col("__syn")).select(
-        "concept", "entity", "position", "note", F.lit(1.0).alias("score"))
-    left = _by_token(asked, ["concept", "__phrase"], "concept")
-    right = _by_token(listed, ["__syn", "entity", "position", "note"], "__syn")
-    shared = left.join(right, "token").where(F.col("__phrase") != F.col("__syn")).groupBy(
-        "concept", "entity", "position", "note", "__n_concept", "__n___syn").agg(F.count("*").alias("k"))
-    overlap = F.col("k") / F.greatest("__n_concept", "__n___syn")
-    partial = shared.select("concept", "entity", "position", "note",
-                            F.round(overlap * SYNONYM_FACTOR, 3).alias("score"))
-    first = equal.unionByName(partial).groupBy("concept", "entity").agg(
-        F.min_by(F.struct("score", "note"), "position").alias("r"))
-    return first.select("concept", "entity", F.col("r.score").alias("synonym_score"), F.col("r.note").alias("note"))
+    asked = concepts.select("concept").distinct().select(
+        "concept", F.trim(F.lower("concept")).alias("phrase"), tokens("concept").alias("tokens"))
+    listed = synonyms.select(
+        "entity", "position", "note", F.trim(F.lower("synonym")).alias("syn_phrase"),
+        tokens(F.trim(F.lower("synonym"))).alias("syn_tokens"))
+
+    def marks(phrase: str, token_list: str) -> Column:
+        # the phrase itself, marked, matches equal phrases that hold no word at all
+        return F.explode(F.concat(F.array(F.concat(F.lit("="), phrase)), token_list))
+
+    first_of_token = listed.select("entity", "position", marks("syn_phrase", "syn_tokens").alias("token")
+                                   ).groupBy("token", "entity").agg(F.min("position").alias("position"))
+    winners = asked.select("concept", marks("phrase", "tokens").alias("token")).join(first_of_token, "token").groupBy(
+        "concept", "entity").agg(F.min("position").alias("position"))
+    scored = winners.join(listed, ["entity", "position"]).join(asked, "concept")
+    shared = F.size(F.array_intersect("tokens", "syn_tokens"))
+    overlap = shared / F.greatest(F.size("tokens"), F.size("syn_tokens"))
+    score = F.when(F.col("phrase") == F.col("syn_phrase"), 1.0).otherwise(F.round(overlap * SYNONYM_FACTOR, 3))
+    return scored.select("concept", "entity", score.alias("synonym_score"), "note")
 
 
 def description_match(concepts: DataFrame, entities: DataFrame) -> DataFrame:

@@ -77,6 +77,33 @@ def test_equal_phrase_scores_one(spark, rows):
     assert rows(c.synonym_match(concepts, synonyms), "entity", "synonym_score") == [("Asset", 1.0)]
 
 
+def brute_force_synonyms(concepts, synonyms):
+    found = {}
+    for concept in set(concepts):
+        ct = python_tokens(concept)
+        for syn, entity, note, _ in sorted(synonyms, key=lambda r: r[3]):
+            phrase, st = syn.lower().strip(), python_tokens(syn.lower().strip())
+            if concept.lower().strip() == phrase:
+                score = 1.0
+            elif ct & st:
+                score = round(len(ct & st) / max(len(ct), len(st)) * 0.9, 3)
+            else:
+                continue
+            found.setdefault((concept, entity), (score, note))
+    return sorted((c, e, s, n) for (c, e), (s, n) in found.items())
+
+
+def test_synonyms_match_brute_force(spark):
+    rng = random.Random(3)
+    vocabulary = ["park", "parks", "camping", "camp", "site", "42", "reservation", "Ticket", "visit"]
+    phrases = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 3))) for _ in range(60)] + ["42", "42 "]
+    synonyms = [(p, rng.choice("ABC"), f"n{i}", i) for i, p in enumerate(phrases)]
+    concepts = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 3))) for _ in range(40)] + ["42"]
+    found = c.synonym_match(spark.createDataFrame([(x,) for x in concepts], "concept string"),
+                            spark.createDataFrame(synonyms, "synonym string, entity string, note string, position int"))
+    assert sorted(tuple(r) for r in found.collect()) == brute_force_synonyms(concepts, synonyms)
+
+
 def test_description_and_combined_score(spark, rows):
     concepts = spark.createDataFrame([("park visit",)], "concept string")
     entities = spark.createDataFrame([("Asset", "A park"), ("Visit", "visit to a park"), ("Case", "none")],
