@@ -268,10 +268,14 @@ class ContractError(ValueError):
     """A frame does not have exactly the declared columns and types."""
 
 
-def enforce_contract(df: DataFrame, schema: StructType) -> DataFrame:
-    """The frame in declared column order, or an error listing every difference."""
+def enforce_contract(df: DataFrame, declared: StructType | Mapping[str, str]) -> DataFrame:
+    """The frame in declared column order, or an error listing every difference.
+
+    ``declared`` is a schema, or maps column to type.
+    """
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    want = {f.name: f.dataType.simpleString() for f in schema.fields}
+    want = ({f.name: f.dataType.simpleString() for f in declared.fields}
+            if isinstance(declared, StructType) else dict(declared))
     problems = [f"missing {c}" for c in want if c not in have]
     problems += [f"undeclared {c}" for c in have if c not in want]
     problems += [f"{c} is {have[c]}, declared {t}" for c, t in want.items() if c in have and have[c] != t]

@@ -317,4 +317,5 @@ def rpt_agency_performance(expenditures: DataFrame, visitation: DataFrame, event
     merged = merge_aggregates([spent, visited, serviced], keys, null_safe)
     return merged.select(
         surrogate_key(*keys).alias("performance_sk"), F.col("report_month").cast("date"), "parks_sk",
-        *[zero(m).alias(m) for m in ("total_expenditures", "total_visitors", "total_incidents")])
+        zero("total_expenditures").cast("decimal(38,2)").alias("total_expenditures"),
+        *[zero(m).alias(m) for m in ("total_visitors", "total_incidents")])

@@ -13,9 +13,11 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from cairn.operators.quality import enforce_contract
 from cairn.plans import integration as i
 from cairn.plans import marts as m
 from cairn.plans.codes import SystemCodes
+from cairn.plans.contracts import CONTRACTS
 from cairn.plans.staging import Loader, build_staging
 from cairn.sources.sinks import materialize
 
@@ -35,6 +37,10 @@ class Warehouse:
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         return materialize(df, name, "table", self.root) if name in self._store else df
 
+    def _mart(self, name: str, df: DataFrame) -> DataFrame:
+        """A mart under its contract; a model without one is passed on as it is."""
+        return self._keep(name, enforce_contract(df, CONTRACTS[name]) if name in CONTRACTS else df)
+
     # integration
 
     @cached_property
@@ -129,71 +135,71 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return m.dim_date(self.spark) if self.dates is None else m.calendar(self.dates)
+        return self._mart("dim_date", m.dim_date(self.spark) if self.dates is None else m.calendar(self.dates))
 
     @cached_property
     def dim_assets(self) -> DataFrame:
-        return m.dim_assets(self.int_physical_assets)
+        return self._mart("dim_assets", m.dim_assets(self.int_physical_assets))
 
     @cached_property
     def dim_employees(self) -> DataFrame:
-        return m.dim_employees(self.int_employees)
+        return self._mart("dim_employees", m.dim_employees(self.int_employees))
 
     @cached_property
     def dim_vendors(self) -> DataFrame:
-        return m.dim_vendors(self.int_vendors)
+        return self._mart("dim_vendors", m.dim_vendors(self.int_vendors))
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return m.dim_customers(self.int_contacts, self.as_of)
+        return self._mart("dim_customers", m.dim_customers(self.int_contacts, self.as_of))
 
     @cached_property
     def dim_parks(self) -> DataFrame:
-        return m.dim_parks(self.int_parks, self.regions, self.codes)
+        return self._mart("dim_parks", m.dim_parks(self.int_parks, self.regions, self.codes))
 
     @cached_property
     def dim_reservation_inventory(self) -> DataFrame:
-        return m.dim_reservation_inventory(
+        return self._mart("dim_reservation_inventory", m.dim_reservation_inventory(
             self.int_customer_assets, self.staged("stg_vistareserve__inventory_assets"),
-            self.int_parks)
+            self.int_parks))
 
     @cached_property
     def fct_reservations(self) -> DataFrame:
-        return self._keep("fct_reservations", m.fct_reservations(self.visits_linked))
+        return self._mart("fct_reservations", m.fct_reservations(self.visits_linked))
 
     @cached_property
     def fct_pos_transactions(self) -> DataFrame:
-        return self._keep("fct_pos_transactions", m.fct_pos_transactions(self.transactions_linked))
+        return self._mart("fct_pos_transactions", m.fct_pos_transactions(self.transactions_linked))
 
     @cached_property
     def fct_park_occupancy_daily_snapshot(self) -> DataFrame:
-        return m.fct_park_occupancy_daily_snapshot(
-            self.fct_reservations, self.dim_date, self.dim_parks)
+        return self._mart("fct_park_occupancy_daily_snapshot", m.fct_park_occupancy_daily_snapshot(
+            self.fct_reservations, self.dim_date, self.dim_parks))
 
     @cached_property
     def rpt_park_revenue_summary(self) -> DataFrame:
-        return m.rpt_park_revenue_summary(
-            self.fct_reservations, self.fct_pos_transactions, self.dim_parks)
+        return self._mart("rpt_park_revenue_summary", m.rpt_park_revenue_summary(
+            self.fct_reservations, self.fct_pos_transactions, self.dim_parks))
 
     @cached_property
     def fct_visitation(self) -> DataFrame:
-        return self._keep("fct_visitation", m.fct_visitation(
+        return self._mart("fct_visitation", m.fct_visitation(
             self.visits_linked, self.int_visitor_counts))
 
     @cached_property
     def fct_expenditures(self) -> DataFrame:
-        return self._keep("fct_expenditures", m.fct_expenditures(
+        return self._mart("fct_expenditures", m.fct_expenditures(
             self.int_financial_transactions, self.staged("stg_stategov__accounts_payable")))
 
     @cached_property
     def fct_incidents_and_maintenance(self) -> DataFrame:
-        return self._keep("fct_incidents_and_maintenance", m.fct_incidents_and_maintenance(
+        return self._mart("fct_incidents_and_maintenance", m.fct_incidents_and_maintenance(
             self.int_work_orders, self.int_officer_shifts))
 
     @cached_property
     def rpt_agency_performance(self) -> DataFrame:
-        return m.rpt_agency_performance(
-            self.fct_expenditures, self.fct_visitation, self.fct_incidents_and_maintenance)
+        return self._mart("rpt_agency_performance", m.rpt_agency_performance(
+            self.fct_expenditures, self.fct_visitation, self.fct_incidents_and_maintenance))
 
 
 INTEGRATION_MODELS = (

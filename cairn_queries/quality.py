@@ -165,9 +165,9 @@ def _(t: Tables) -> DataFrame:
 @query("entity_conformance", "K20", """
     select column_name from (select distinct p_name || if(p_size % 9 = 0, '_id', '') as column_name from part) c
     where not (lower(column_name) like '%\\_sk' escape '\\' or lower(column_name) like '%\\_id' escape '\\')
-        and lower(column_name) not in (select lower(p_name) from part where p_brand = 'Brand#7' and p_size > 10)""")
+        and lower(column_name) not in (select lower(p_name) from part where p_brand = 'Brand#7' and p_name not like 'small%')""")
 def _(t: Tables) -> DataFrame:
     suffix = F.when(F.col("p_size") % 9 == 0, "_id").otherwise("")
     columns = t.part.select(F.concat("p_name", suffix).alias("column_name")).distinct()
-    catalog = t.part.where(F.col("p_size") > 10).select(F.col("p_brand").alias("entity"), F.col("p_name").alias("column_name"))
+    catalog = t.part.where(~F.col("p_name").startswith("small")).select(F.col("p_brand").alias("entity"), F.col("p_name").alias("column_name"))
     return q.entity_conformance(columns, catalog, "Brand#7")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cairn.plans import integration as i
 from cairn.plans import marts as m
 from cairn.plans.codes import SystemCodes
+from cairn.plans.contracts import CONTRACTS
 from cairn.plans.staging import MODEL_NAMES, build_staging
 from cairn.plans.staging.granttrack import award_budget_by_fiscal_year
 from cairn.plans.staging.vistareserve import base_customer_profiles
@@ -119,6 +120,13 @@ def test_stored_models_equal_lazy_ones(spark, small, tmp_path, rows):
     assert (tmp_path / "int_parks").exists() and (tmp_path / "visits_linked").exists()
 
 
+def test_marts_meet_their_contracts(small):
+    w = warehouse(small)
+    assert set(MART_MODELS) - set(CONTRACTS) == {"fct_expenditures"}
+    for name, declared in CONTRACTS.items():
+        assert {f.name: f.dataType.simpleString() for f in getattr(w, name).schema.fields} == declared
+
+
 def test_crosswalk_age_uses_as_of(spark, small):
     df = build_staging("base_vistareserve__asset_crosswalks", small.load, F.lit("2015-01-03").cast("date"))
     first = df.where(F.col("last_verified_date") == D(2015, 1, 2)).first()
