@@ -144,8 +144,9 @@ def unique_columns(profile: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, max_distinct: int = LOW_CARDINALITY) -> DataFrame:
     """Counts of every value, NULL included, for columns with few distinct values."""
     counts = melt_counts(df)
-    few = counts.groupBy("column_name").agg(F.count("value").alias("k")).where(
-        F.col("k").between(1, max_distinct)).select("column_name")
+    # both uses read every column of the counts, so their shuffle is done once
+    few = counts.groupBy("column_name").agg(F.count("value").alias("k"), F.sum("n").alias("total")).where(
+        F.col("k").between(1, max_distinct) & (F.col("total") > 0)).select("column_name")
     return counts.join(few, "column_name", "left_semi")
 
 

@@ -30,9 +30,11 @@ def under_split(df: DataFrame) -> bool:
     slots = df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= slots:
         return False
-    found = df.select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_size").distinct().collect()
-    size = sum({r["file_path"]: r["file_size"] for r in found}.values())
-    return len(found) < slots and size >= SMALL_BYTES
+    meta = df.select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_size")
+    per_file = meta.distinct().groupBy("file_path").agg(
+        F.count("*").alias("pieces"), F.max("file_size").alias("bytes"))
+    found = per_file.agg(F.sum("pieces").alias("pieces"), F.sum("bytes").alias("bytes")).first()
+    return (found.pieces or 0) < slots and (found.bytes or 0) >= SMALL_BYTES
 
 
 def spread(df: DataFrame, needed: bool | None = None) -> DataFrame:
