@@ -125,8 +125,8 @@ def _(t: Tables) -> DataFrame:
                                t.documents.select(F.col("doc_id").alias("entity"), F.col("text").alias("description")))
 
 
-# One description per brand: its part names in one text.
-BRANDS_SQL = "(select p_brand as entity, string_agg(p_name, ' ' order by p_partkey) as description from part where p_size > 40 group by p_brand)"
+# One description per brand: its first and last part name.
+BRANDS_SQL = "(select p_brand as entity, min(p_name) || ' and ' || max(p_name) as description from part group by p_brand)"
 
 
 @query("combined_score", "M7", f"""
@@ -136,9 +136,8 @@ BRANDS_SQL = "(select p_brand as entity, string_agg(p_name, ' ' order by p_partk
         round(0.6::double * coalesce(synonym_score, 0) + 0.3::double * coalesce(description_score, 0) + 0.1::double * if(synonym_score is null, 0, 0.5), 3) as final_score
     from syn full join des using (concept, entity)""")
 def _(t: Tables) -> DataFrame:
-    named = t.part.where(F.col("p_size") > 40).groupBy(F.col("p_brand").alias("entity")).agg(
-        F.sort_array(F.collect_set(F.col("p_name"))).alias("names"))
-    brands = named.select("entity", F.array_join("names", " ").alias("description"))
+    brands = t.part.groupBy(F.col("p_brand").alias("entity")).agg(
+        F.concat(F.min("p_name"), F.lit(" and "), F.max("p_name")).alias("description"))
     return c.combined_score(c.synonym_match(concepts(t), synonyms(t)), c.description_match(concepts(t), brands), 0.5)
 
 
