@@ -69,10 +69,7 @@ def sparse_suffixes(docs: DataFrame) -> DataFrame:
 
 
 def with_equal_neighbour(rows: DataFrame) -> DataFrame:
-    """``doc_id, place`` (and ``h1, h2, edge``) of the rows whose neighbour in sorted order has equal hashes.
-
-    Rows at either end of a partition are always given, with ``edge`` set unless their neighbour inside is equal.
-    """
+    """The rows whose neighbour in sorted order has equal hashes (``found``), and those at either end of a partition (``edge``)."""
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         previous: pa.RecordBatch | None = None  # the last row, not given yet
         equal_before = started = False
@@ -84,24 +81,24 @@ def with_equal_neighbour(rows: DataFrame) -> DataFrame:
             same = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1]) & ((doc[1:] != doc[:-1]) | (place[1:] != place[:-1]))
             found = np.concatenate(([equal_before], same)) | np.concatenate((same, [False]))
             edge = np.zeros(len(found), bool)
-            edge[0] = not started and not found[0]
-            give = (found | edge)
+            edge[0] = not started
+            give = found | edge
             give[-1] = False
             if len(found) > 1:
                 started = True
-                yield rows_of(table, give, edge)
+                yield rows_of(table, give, found, edge)
             equal_before = bool(same[-1]) if len(same) else equal_before
             previous = table.slice(table.num_rows - 1).to_batches()[0]
         if previous is not None:
-            yield rows_of(pa.Table.from_batches([previous]), np.array([True]), np.array([not equal_before]))
+            yield rows_of(pa.Table.from_batches([previous]), np.array([True]), np.array([equal_before]), np.array([True]))
 
-    def rows_of(table: pa.Table, give: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
-        picked = table.append_column("edge", pa.array(edge)).filter(pa.array(give)).combine_chunks()
+    def rows_of(table: pa.Table, give: np.ndarray, found: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
+        picked = table.append_column("found", pa.array(found)).append_column("edge", pa.array(edge)).filter(pa.array(give)).combine_chunks()
         return picked.to_batches()[0] if picked.num_rows else pa.RecordBatch.from_pylist([], picked.schema)
 
     order = ("h1", "h2", "doc_id", "place")
     return (rows.repartitionByRange(shuffle_slots(rows), *order).sortWithinPartitions(*order)
-             .mapInArrow(neighbours, "h1 bigint, h2 bigint, doc_id bigint, place int, edge boolean"))
+             .mapInArrow(neighbours, "h1 bigint, h2 bigint, doc_id bigint, place int, found boolean, edge boolean"))
 
 def windows_around(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """``h1, h2, doc_id, place`` of every ``MIN_WORDS`` window that reaches over a candidate from at most ``SPACING`` words before it."""
@@ -133,11 +130,13 @@ def windows_around(docs: DataFrame, candidates: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """``doc_id, start, n_words``: every maximal span of words covered by windows of ``MIN_WORDS`` words that occur elsewhere too."""
     candidates = with_equal_neighbour(sparse_suffixes(docs)).select("doc_id", "place")
-    windows = stored(with_equal_neighbour(windows_around(docs, candidates)), "windows")
+    found = with_equal_neighbour(windows_around(docs, candidates))
+    hash_of = lambda c: F.when(F.col("edge"), F.col(c)).alias(c)  # only these few are compared again
+    windows = stored(found.select(hash_of("h1"), hash_of("h2"), "doc_id", "place", "found", "edge"), "windows")
     ends = windows.where("edge").dropDuplicates(["h1", "h2", "doc_id", "place"])
     across = (ends.groupBy("h1", "h2").agg(F.count("*").alias("_n")).where("_n > 1"))
-    lone = ends.join(across, ["h1", "h2"]).select("doc_id", "place")
-    starts = windows.where("not edge").select("doc_id", "place").unionByName(lone)
+    lone = ends.where("not found").join(across, ["h1", "h2"]).select("doc_id", "place")
+    starts = windows.where("found").select("doc_id", "place").unionByName(lone)
     return joined_spans(starts)
 
 
