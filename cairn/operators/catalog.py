@@ -7,7 +7,6 @@ terms meet descriptions through equality joins on words.
 from __future__ import annotations
 
 import difflib
-import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 from cairn.functions import pct
 from cairn.operators.aggregates import count_if, top_n
 from cairn.operators.filters import non_blank
-from cairn.sources.sinks import materialize
 
 # Thresholds, weights, and the word stems of the scores.
 COVERAGE_THRESHOLD = 50
@@ -28,7 +26,6 @@ SYNONYM_FACTOR, DESCRIPTION_FACTOR = 0.9, 0.8
 SCORE_WEIGHTS = {"synonym_score": 0.6, "description_score": 0.3, "column_bonus": 0.1}
 STEMS = ((r"^(.+)s$", 3), (r"^(.+)ing$", 5), (r"^(.+)tion$", 6))
 FUZZY_CUTOFF, SHORT_WORD = 0.8, 3
-NEAR_LIST = 1000
 WORD, LETTERS = "[a-z0-9]+", "[a-z]+"
 
 
@@ -130,16 +127,14 @@ def similar_words(vocabulary: DataFrame, keywords: dict[str, str], cutoff: float
 
 
 def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str], cutoff: float = FUZZY_CUTOFF,
-                 all_words: bool = False, entity: str | None = None, entity_column: str = "entity",
-                 near_list: int = NEAR_LIST) -> DataFrame:
+                 all_words: bool = False, entity: str | None = None, entity_column: str = "entity") -> DataFrame:
     """Catalog rows whose text contains keywords or words much like them.
 
     Keywords with a blank or of at most three letters are matched as plain text. For the
     others the words of all texts are reduced to their distinct vocabulary first, so the
-    similarity runs once per word; the similar words are stored and counted. Up to
-    ``NEAR_LIST`` of them are compared with each row's own words in place, without any
-    join. Beyond that the words find their texts by equality joins, and texts are told
-    apart by their SHA-256, so copies of a text cost one entry.
+    similarity runs once per word. The similar words find their texts by an equality join,
+    and texts are told apart by their SHA-256, so copies of a text cost one entry. Nothing
+    runs before the result is asked for.
     """
     if not words:
         raise ValueError("search needs at least one keyword")
@@ -152,18 +147,9 @@ def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str]
     if fuzzy:
         vocabulary = rows.select(F.explode(row_words).alias("word")).where(
             F.length("word") > SHORT_WORD).distinct()
-        near = materialize(similar_words(vocabulary, fuzzy, cutoff), f"near_{uuid.uuid4().hex}", "table")
-        if near.count() <= near_list:
-            found = near.collect()
-            close = {k: [r["word"] for r in found if r[flag]] for k, flag in fuzzy.items()}
-            if not all_words:  # any similar word will do: look at each row's words once
-                close = {next(iter(fuzzy)): [r["word"] for r in found]}
-            for k, near_words in close.items():
-                if near_words:
-                    similar[k] = F.arrays_overlap(row_words, F.array(*[F.lit(w) for w in near_words]))
-        else:
-            rows = _join_near_words(rows, text, row_words, near, list(fuzzy.values()))
-            similar.update({k: F.coalesce(F.col(flag), F.lit(False)) for k, flag in fuzzy.items()})
+        near = similar_words(vocabulary, fuzzy, cutoff)
+        rows = _join_near_words(rows, text, row_words, near, list(fuzzy.values()))
+        similar.update({k: F.coalesce(F.col(flag), F.lit(False)) for k, flag in fuzzy.items()})
     tests = [text.contains(k) | similar[k] for k in keywords]
     return rows.where(_combine(tests, all_words)).select(*catalog.columns)
 

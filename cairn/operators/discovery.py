@@ -3,46 +3,49 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations, islice
+from itertools import batched, combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Shares from which a column may take part in a key, and from which a
-# combination is accepted; combinations tried per size; growth that counts as fan-out.
-ELIGIBLE, ACCEPTED, MAX_COMBINATIONS = 0.5, 0.99, 50
+# combination is accepted; growth that counts as fan-out.
+ELIGIBLE, ACCEPTED = 0.5, 0.99
 FAN_OUT = 1.05
+# combinations counted in one job; all are tried, in as many jobs as that takes
+BATCH = 16
 
 Combo = tuple[str, ...]
 
 
 def _distinct_counts(df: DataFrame, combos: Sequence[Combo]) -> tuple[int, dict[Combo, int]]:
-    """Row count and distinct non-NULL combinations, all in one job.
+    """Row count and distinct non-NULL combinations, ``BATCH`` combinations per job.
 
-    Every row gives one hash-free key struct per combination; counting distinct keys per
-    combination then is an ordinary two-step aggregate that spreads over all keys. The
-    result is one row per combination, at most 50, so it is collected.
+    Every row gives a 16-byte digest of its key parts per combination (none where a part is
+    NULL); counting distinct digests per combination then is a two-step aggregate that
+    spreads over all keys. Collected is one row per combination.
     """
-    keys = F.array(*[
-        F.struct(F.lit(i).alias("combo"), F.when(
-            F.forall(F.array(*[F.col(c).isNotNull() for c in combo]), lambda x: x),
-            F.to_json(F.array(*[F.col(c).cast("string") for c in combo]))).alias("key"))
-        for i, combo in enumerate(combos)])
-    counts = (df.select(F.explode(keys).alias("k")).select("k.*")
-              .groupBy("combo", "key").agg(F.count("*").alias("n"))
-              .groupBy("combo").agg(F.count("key").alias("distinct"), F.sum("n").alias("total")).collect())
-    total = counts[0]["total"] if counts else 0
-    return total, {combos[r["combo"]]: r["distinct"] for r in counts}
+    total, distinct = df.count(), dict.fromkeys(combos, 0)
+    for batch in batched(combos, BATCH):
+        keys = F.array(*[
+            F.struct(F.lit(i).alias("combo"), F.when(
+                F.forall(F.array(*[F.col(c).isNotNull() for c in combo]), lambda x: x),
+                F.unhex(F.md5(F.to_json(F.array(*[F.col(c).cast("string") for c in combo]))))).alias("key"))
+            for i, combo in enumerate(batch)])
+        counts = (df.select(F.explode(keys).alias("k")).select("k.*").where("key is not null")
+                  .groupBy("combo", "key").agg(F.lit(1).alias("one"))
+                  .groupBy("combo").agg(F.count("*").alias("distinct")).collect())
+        distinct |= {batch[r["combo"]]: r["distinct"] for r in counts}
+    return total, distinct
 
 
 def candidate_keys(df: DataFrame, elig: float = ELIGIBLE, cand: float = ACCEPTED,
-                   cap: int = MAX_COMBINATIONS, columns: Sequence[str] | None = None) -> DataFrame:
+                   columns: Sequence[str] | None = None) -> DataFrame:
     """Columns and combinations by uniqueness, best first.
 
     Single columns from ``elig`` up are reported. Only when none reaches ``cand`` are
-    pairs of them tried, and only then triples; ``cap`` limits the combinations tried
-    per size. Rows with a NULL in a key do not count. At most three jobs over the whole
-    table; only their per-combination counts reach the driver.
+    pairs of them tried, and only then triples, always all of them. Rows with a NULL in a
+    key do not count. Only one count per combination reaches the driver.
     """
     found: list[tuple[list[str], float]] = []
     total, singles = _distinct_counts(df, [(c,) for c in (columns or df.columns)])
@@ -51,7 +54,7 @@ def candidate_keys(df: DataFrame, elig: float = ELIGIBLE, cand: float = ACCEPTED
             singles.items(), key=lambda e: df.columns.index(e[0][0])) if n / total >= elig]
         found += [([c], singles[(c,)] / total) for c in eligible]
         for size in (2, 3):
-            combos = list(islice(combinations(eligible, size), cap))
+            combos = list(combinations(eligible, size))
             if not combos or any(ratio >= cand for _, ratio in found):
                 break
             _, counts = _distinct_counts(df, combos)

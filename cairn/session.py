@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
-
 from pyspark.sql import SparkSession
 
 # Settings that carry meaning (time zone, ANSI errors) or let Spark re-plan at run time.
@@ -32,17 +29,11 @@ def build_session(app: str = "cairn", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
-@cache
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"cairn-{application_id}-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder of this application for written intermediate tables.
 
-    It lies under the cluster's checkpoint folder (``spark.checkpoint.dir``). Only where
-    the session names none, as in local tests, is a temporary folder made.
+    It lies under the cluster's checkpoint folder (``spark.checkpoint.dir``) or, where the
+    session names none, under the warehouse: both are storage that all executors reach.
     """
-    application_id = spark.sparkContext.applicationId
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base.rstrip('/')}/{application_id}" if base else _local_dir(application_id)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"

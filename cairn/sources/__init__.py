@@ -8,11 +8,9 @@ from cairn.sources.readers import (
     load_seed,
     load_source,
     register_views,
-    spread,
-    under_split,
 )
 from cairn.sources.sinks import export, materialize
 
 __all__ = ["catalog_files", "describe", "entity_descriptions", "export", "list_tables",
            "load_catalog_dir", "load_seed", "load_source", "materialize", "register_views", "sample",
-           "spread", "table_overview", "under_split"]
+           "table_overview"]

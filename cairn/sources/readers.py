@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def load_source(spark: SparkSession, root: str, system: str, table: str, fmt: str = "parquet",
@@ -17,37 +17,6 @@ def load_source(spark: SparkSession, root: str, system: str, table: str, fmt: st
     return spark.read.format(fmt).load(path)
 
 
-SMALL_BYTES = 1 << 20
-
-
-def under_split(df: DataFrame) -> bool:
-    """Is a freshly read table kept in fewer readable pieces than there are task slots?
-
-    A Parquet file can only be read in as many tasks as it has row groups. Tables of many
-    files are answered from the file list; for few files one small job reads footers.
-    Tables under 1 MB never count.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= slots:
-        return False
-    meta = df.select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_size")
-    per_file = meta.distinct().groupBy("file_path").agg(
-        F.count("*").alias("pieces"), F.max("file_size").alias("bytes"))
-    found = per_file.agg(F.sum("pieces").alias("pieces"), F.sum("bytes").alias("bytes")).first()
-    return (found.pieces or 0) < slots and (found.bytes or 0) >= SMALL_BYTES
-
-
-def spread(df: DataFrame, needed: bool | None = None) -> DataFrame:
-    """Rows of an under-split table dealt out over all task slots.
-
-    Without it everything up to the first shuffle would run in a few tasks. Columns and
-    filters still reach the scan, and well-split tables are returned unchanged, so large
-    data never pays for it. ``needed`` passes on an earlier answer of ``under_split``.
-    """
-    needed = under_split(df) if needed is None else needed
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if needed else df
-
-
 def register_views(frames: dict[str, DataFrame]) -> None:
     """Bind frames to temp views, so they can be used from SQL by ``system_table`` names."""
     for name, df in frames.items():
@@ -55,16 +24,27 @@ def register_views(frames: dict[str, DataFrame]) -> None:
 
 
 def load_seed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Small typed CSV with a header; rows that do not fit the schema are skipped."""
-    return (
-        spark.read.schema(schema)
+    """Small typed CSV with a header; rows that do not fit the schema are skipped.
+
+    A row is judged by all its fields, whatever columns are asked for later: every field is
+    read as text, and rows with too few or too many fields or a value that is not of its
+    declared type go.
+    """
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    texts = StructType([StructField(f.name, StringType()) for f in fields] + [StructField("__bad", StringType())])
+    read = (
+        spark.read.schema(texts)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", True)
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "__bad")
         .csv(path)
     )
+    fits = [F.col(f"`{f.name}`").isNull() | F.col(f"`{f.name}`").try_cast(f.dataType).isNotNull() for f in fields]
+    return read.where(reduce(Column.__and__, fits, F.col("__bad").isNull())).select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
 
 
 def _strings(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -13,15 +14,17 @@ def materialize(df: DataFrame, name: str, kind: str = "view", root: str | None =
     """Keep a model lazy (``view``) or store it (``table``) and read it back.
 
     Stored models go under ``root`` (default: the cluster's shared folder) as Parquet,
-    which also cuts the lineage: a lost executor re-reads files, not the whole plan.
+    which also cuts the lineage: a lost executor re-reads files, not the whole plan. Every
+    call has a path of its own, so a frame may be stored from itself and frames returned
+    earlier stay readable.
     """
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
     if kind != "table":
         raise ValueError("kind is 'view' or 'table'")
-    path = f"{(root or shared_dir(df.sparkSession)).rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{(root or shared_dir(df.sparkSession)).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from cairn.sources import spread, under_split
 
 MONTHS = "January,February,March,April,May,June,July,August,September,October,November,December"
 STATES = "MA,CT,RI,NH,VT,ME,NY,NJ,PA,OH,MI,IN,IL,WI,CA,OR,WA,NV,ID,TX,FL,GA,NC,SC,ZZ"
@@ -443,10 +442,8 @@ class Tables:
             path = f"{self.sf_dir}/{table}.parquet"
             key = (self.spark.sparkContext.applicationId, path)
             if key not in _KNOWN:
-                df = self.spark.read.parquet(path)
-                _KNOWN[key] = (df.schema, under_split(df))
-            schema, needs_spread = _KNOWN[key]
-            self._read[table] = spread(self.spark.read.schema(schema).parquet(path), needs_spread)
+                _KNOWN[key] = self.spark.read.parquet(path).schema
+            self._read[table] = self.spark.read.schema(_KNOWN[key]).parquet(path)
         return self._read[table]
 
     def raw(self, name: str) -> DataFrame:

@@ -70,15 +70,19 @@ def test_describe_list_and_sample(spark, rows):
         sources.sample(df, 0)
 
 
-def test_spread_only_touches_under_split_tables(spark, tmp_path):
-    rows = spark.range(300_000).select("id", F.md5(F.col("id").cast("string")).alias("t"))
-    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
-    rows.repartition(8).write.parquet(str(tmp_path / "many"))
-    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "tiny"))
-    flags = {n: sources.under_split(spark.read.parquet(str(tmp_path / n))) for n in ("one", "many", "tiny")}
-    assert flags == {"one": True, "many": False, "tiny": False}
-    dealt = sources.spread(spark.read.parquet(str(tmp_path / "one")))
-    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and dealt.count() == 300_000
+def test_seed_rejects_the_same_rows_whatever_is_read(spark, tmp_path, rows):
+    (tmp_path / "seed.csv").write_text("code,name,n\nR1,West,1\nR2,Central,many\nR3,East,3\nR4,North\nR5,South,5,x\nR6,,\n")
+    seed = sources.load_seed(spark, str(tmp_path / "seed.csv"), "code string, name string, n int")
+    assert rows(seed) == [("R1", "West", 1), ("R3", "East", 3), ("R6", None, None)]
+    assert rows(seed.select("code")) == [("R1",), ("R3",), ("R6",)] and seed.count() == 3
+    texts = sources.load_seed(spark, str(tmp_path / "seed.csv"), "code string, name string, n string")
+    assert rows(texts.select("code")) == [("R1",), ("R2",), ("R3",), ("R6",)]
+
+
+def test_stored_frames_do_not_overwrite_each_other(spark, tmp_path):
+    first = sources.materialize(spark.range(3), "same", "table", str(tmp_path))
+    second = sources.materialize(first.where("id > 0"), "same", "table", str(tmp_path))
+    assert first.count() == 3 and second.count() == 2
 
 
 def test_spec_from_schema_groups_and_sorts(spark):
