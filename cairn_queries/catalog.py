@@ -14,15 +14,17 @@ from cairn.operators import lineage
 from cairn_queries.fixtures import Tables
 from cairn_queries.registry import query
 
-CATALOG_SQL = "(select p_brand as entity, p_name as column_name from part where p_brand <> 'Brand#3')"
+# one brand is listed under another name, so that its parts find no entry
+CATALOG_SQL = "(select if(p_brand = 'Brand#3', 'Renamed', p_brand) as entity, p_name as column_name from part)"
 
 
 def column_catalog(t: Tables) -> DataFrame:
-    return c.catalog_columns(t.part.where(F.col("p_brand") != "Brand#3"), "p_brand", "p_name")
+    name = F.when(F.col("p_brand") == "Brand#3", "Renamed").otherwise(F.col("p_brand"))
+    return c.catalog_columns(t.part.withColumn("entity_name", name), "entity_name", "p_name")
 
 
 @query("entity_coverage_report", "M1,C8,E7,B38", f"""
-    with x as (select distinct 'int_' || p_type as model, p_brand as entity, if(p_size % 5 = 0, '', p_name) as mapped from part where p_size < 25),
+    with x as (select distinct 'int_' || p_type as model, p_brand as entity, if(p_size % 5 = 0, '', p_name) as mapped from part),
     m as (select model, entity, count(distinct mapped) as mapped_columns from x where mapped <> '' group by all),
     n as (select entity, count(*) as total_columns from {CATALOG_SQL} group by 1)
     select model, entity, mapped_columns, total_columns, round(100.0 * mapped_columns / nullif(total_columns, 0), 1) as coverage_pct,
@@ -30,7 +32,7 @@ def column_catalog(t: Tables) -> DataFrame:
              else 'Below threshold — review for CDM exception' end as coverage_status
     from m left join n using (entity)""")
 def _(t: Tables) -> DataFrame:
-    crosswalk = t.part.where(F.col("p_size") < 25).select(
+    crosswalk = t.part.select(
         F.concat(F.lit("int_"), "p_type").alias("model"), F.col("p_brand").alias("entity"),
         F.when(F.col("p_size") % 5 == 0, "").otherwise(F.col("p_name")).alias("mapped_column"))
     return c.entity_coverage(crosswalk, column_catalog(t))
@@ -38,7 +40,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("entity_candidates", "M2,G1,E8,C9", f"""
     with w as (select distinct lower(case when p_size % 7 = 0 then p_name || '_id' when p_size % 7 = 1 then '_' || p_name else p_name end) as column_name
-        from part where p_type = 'ECONOMY'),
+        from part),
     b as (select column_name from w where not (right(column_name, 3) in ('_sk', '_id') or left(column_name, 1) = '_')),
     g as (select entity, count(*) as total_columns, cast(sum(if(column_name in (select column_name from b), 1, 0)) as bigint) as matched_columns
         from {CATALOG_SQL} group by entity having matched_columns > 0)
@@ -49,7 +51,7 @@ def _(t: Tables) -> DataFrame:
     size = F.col("p_size") % 7
     name = (F.when(size == 0, F.concat("p_name", F.lit("_id"))).when(size == 1, F.concat(F.lit("_"), "p_name"))
             .otherwise(F.col("p_name")))
-    return c.entity_candidates(t.part.where(F.col("p_type") == "ECONOMY").select(name.alias("column_name")), column_catalog(t))
+    return c.entity_candidates(t.part.select(name.alias("column_name")), column_catalog(t))
 
 
 DOCS_SQL = "(select source as entity, doc_id, lang, lower(coalesce(source, '') || ' | ' || coalesce(lang, '') || ' | ' || coalesce(text, '')) as t from documents)"
@@ -71,8 +73,27 @@ def _(t: Tables) -> DataFrame:
     return found.select("doc_id", "entity", "lang")
 
 
-# difflib's ratio has no SQL form; the tests compare this with brute force.
-@query("catalog_search_fuzzy", "M4", None)
+# The ratio takes the longest common block (earliest in the word, then in the keyword) and goes on left and right of it.
+NEAR_SQL = """
+words as (select distinct unnest(regexp_extract_all(t, '[a-z0-9]+')) as w from docs),
+segments as (
+    select w, k, 0 as alo, length(w) as ahi, 0 as blo, length(k) as bhi, 0::bigint as hit
+    from words, (values ('thereing'), ('erentions')) keywords(k)
+    where length(w) > 3 and 2.0 * least(length(w), length(k)) / (length(w) + length(k)) >= 0.8
+    union all
+    select w, k, if(side = 0, alo, m.i + m.l), if(side = 0, m.i, ahi), if(side = 0, blo, m.j + m.l), if(side = 0, m.j, bhi), if(side = 0, m.l, 0)
+    from (select w, k, alo, ahi, blo, bhi, arg_min({'i': i, 'j': j, 'l': l}, row(-l, i, j)) as m, unnest([0, 1]) as side
+          from (select *, unnest(range(1, least(ahi - i, bhi - j) + 1)) as l
+                from (select *, unnest(range(blo, bhi)) as j from (select *, unnest(range(alo, ahi)) as i from segments)))
+          where substr(w, i + 1, l) = substr(k, j + 1, l) group by w, k, alo, ahi, blo, bhi)),
+near as (select w from segments group by w, k having 2.0 * sum(hit) / (length(w) + length(k)) >= 0.8)"""
+
+
+@query("catalog_search_fuzzy", "M4", f"""
+    with recursive docs as (select * from {DOCS_SQL}), {NEAR_SQL}
+    select doc_id, entity, lang from docs
+    where contains(t, 'thereing') or contains(t, 'erentions') or contains(t, 'and')
+        or list_has_any(regexp_extract_all(t, '[a-z0-9]+'), (select coalesce(list(distinct w), []) from near))""")
 def _(t: Tables) -> DataFrame:
     return c.search_fuzzy(documents(t), ["thereing", "erentions", "and"], FIELDS).select("doc_id", "entity", "lang")
 

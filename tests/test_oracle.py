@@ -41,8 +41,8 @@ def test_query_equals_sql(spark, duck, name):
     assert rows([tuple(r) for r in df.collect()], df.columns) == want
 
 
-def test_every_query_has_sql_but_the_fuzzy_search():
-    assert {name for name, q in all_queries().items() if not q.sql} == {"catalog_search_fuzzy"}
+def test_every_query_has_sql():
+    assert {name for name, q in all_queries().items() if not q.sql} == set()
 
 
 def test_entry_runs(spark):
