@@ -32,6 +32,10 @@ class Check:
 
     name = "check"
 
+    def tally(self, test: Column) -> Column:
+        """The number of violations as an aggregate of the row test: rows, unless a check counts something else."""
+        return F.count_if(test)
+
     def scope(self, df: DataFrame) -> DataFrame:
         return df if self.where is None else df.where(self.where)
 
@@ -78,6 +82,9 @@ class AcceptedValues(Check):
     def violations(self, df: DataFrame) -> DataFrame:
         return super().violations(df).groupBy(self.columns[0]).agg(F.count("*").alias("n_rows"))
 
+    def tally(self, test: Column) -> Column:
+        return F.count_distinct(F.when(test, F.col(self.columns[0])))
+
 
 @dataclass(frozen=True)
 class Between(Check):
@@ -248,7 +255,7 @@ def summarize(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     parts = []
     if single:
         scoped = [c.bad_row() if c.where is None else c.where & c.bad_row() for c in single]
-        sums = df.agg(*[F.count_if(test).alias(f"__c{i}") for i, test in enumerate(scoped)])
+        sums = df.agg(*[c.tally(test).alias(f"__c{i}") for i, (c, test) in enumerate(zip(single, scoped))])
         rows = F.array(*[
             F.struct(*label(c), F.col(f"__c{i}").alias("violations")) for i, c in enumerate(single)])
         parts.append(sums.select(F.explode(rows).alias("r")).select("r.*"))

@@ -10,11 +10,22 @@ from cairn.sources import describe
 from cairn_queries.fixtures import Tables, raw_sql
 from cairn_queries.registry import query
 
-ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-PARTS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+PARTS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+# money in cents or as decimals, so that sums and text forms are the same in both engines
+ORDERS_SQL = "(select * replace (cast(round(o_totalprice * 100) as bigint) as o_totalprice) from orders)"
+PARTS_SQL = "(select * replace (cast(p_retailprice as decimal(12,2)) as p_retailprice) from part)"
 CUSTOMERS = "vistareserve.customer_profiles"
 
 
+def orders(t: Tables) -> DataFrame:
+    return t.orders.withColumn("o_totalprice", F.round(F.col("o_totalprice") * 100).cast("bigint"))
+
+
+def parts(t: Tables) -> DataFrame:
+    return t.part.withColumn("p_retailprice", F.col("p_retailprice").cast("decimal(12,2)"))
+
+
 def melted_sql(columns: tuple[str, ...], source: str) -> str:
     return " union all ".join(
         f"select '{c}' as column_name, cast({c} as varchar) as value, count(*) as n from {source} group by all" for c in columns)
@@ -34,9 +45,9 @@ def profile_sql(columns: tuple[str, ...], source: str, means: tuple[str, ...]) -
     return " union all ".join(parts)
 
 
-@query("quick_profile", "L1,E11", profile_sql(ORDERS, "orders", ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")))
+@query("quick_profile", "L1,E11", profile_sql(ORDERS, ORDERS_SQL, ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")))
 def _(t: Tables) -> DataFrame:
-    return profile.quick_profile(t.orders, ORDERS)
+    return profile.quick_profile(orders(t), ORDERS)
 
 
 @query("quick_profile_dirty", "L1,L2", f"""
@@ -47,16 +58,16 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("top_values_per_column", "G3,E11", f"""
-    with m as ({melted_sql(PARTS, 'part')}), r as (select *, row_number() over (partition by column_name order by n desc, value) as rn from m)
+    with m as ({melted_sql(PARTS, PARTS_SQL)}), r as (select *, row_number() over (partition by column_name order by n desc, value) as rn from m)
     select column_name, string_agg(value, '|' order by rn) as top_values from r where rn <= 5 group by column_name""")
 def _(t: Tables) -> DataFrame:
-    return profile.top_values(profile.melt_counts(t.part, PARTS))
+    return profile.top_values(profile.melt_counts(parts(t), PARTS))
 
 
 @query("uniqueness_ratios", "L3", " union all ".join(
     f"select '{c}' as column_name, count(distinct {c}) / count(*) as uniqueness_ratio from part" for c in PARTS))
 def _(t: Tables) -> DataFrame:
-    return profile.uniqueness_ratios(t.part, PARTS)
+    return profile.uniqueness_ratios(parts(t), PARTS)
 
 
 # Supplier names are unique; the money column is not; neither pair nor triple is needed.
@@ -116,10 +127,10 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("low_cardinality_values", "L7", f"""
-    with m as ({melted_sql(ORDERS, 'orders')}) select * from m where column_name in
+    with m as ({melted_sql(ORDERS, ORDERS_SQL)}) select * from m where column_name in
         (select column_name from m group by 1 having count(value) between 1 and 10)""")
 def _(t: Tables) -> DataFrame:
-    return profile.value_counts(t.orders.select(*ORDERS))
+    return profile.value_counts(orders(t).select(*ORDERS))
 
 
 @query("text_hygiene", "L8", """
@@ -155,7 +166,7 @@ def _(t: Tables) -> DataFrame:
 @query("fully_unique_columns", "L10", " union all ".join(
     f"select '{c}' as column_name, count(distinct {c}) as distinct_count from orders having count(distinct {c}) = count(*)" for c in ORDERS))
 def _(t: Tables) -> DataFrame:
-    return profile.unique_columns(profile.quick_profile(t.orders, ORDERS)).select("column_name", "distinct_count")
+    return profile.unique_columns(profile.quick_profile(orders(t), ORDERS)).select("column_name", "distinct_count")
 
 
 SIGNAL_SQL = """(select cast(o_orderkey as varchar) as orderId, o_orderpriority as status, cast(o_orderdate as varchar) as created_on,

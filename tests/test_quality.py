@@ -90,3 +90,9 @@ def test_reconcile_and_conformance(spark, rows):
     columns = spark.createDataFrame([("Name",), ("park_id",), ("parks_sk",), ("odd",)], "column_name string")
     catalog = spark.createDataFrame([("Park", "name"), ("Other", "odd")], "entity string, column_name string")
     assert rows(q.entity_conformance(columns, catalog, "Park")) == [("odd",)]
+
+
+def test_accepted_values_count_alike_everywhere(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "v string")
+    check = q.accepted_values("v", ["a"])
+    assert check.count(df).first()["violations"] == 2 == q.summarize(df, "t", [check]).first()["violations"]
