@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.graph import Forest, components, dealt_blocks, fixed_rows, whole_groups
+from cairn.llm.graph import Forest, components, dealt_blocks, fixed_rows, whole_groups, with_groups
 from cairn.llm.store import stored
 
 THRESHOLD, RECALL = 0.9, 0.995
@@ -74,9 +74,10 @@ def near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
     """``vec_id, n_links, component_id, kept`` per row of ``vec_id, embedding``."""
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding", (valid_vector(F.col("embedding")) & F.col("vec_id").isNotNull()).alias("_valid"))
     known = rows.where("_valid").select("vec_id", "embedding", F.xxhash64("embedding").alias("_h1"), F.xxhash64(F.lit(3), "embedding").alias("_h2"))
-    classes = stored(known.groupBy("_h1", "_h2").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("weight")), "classes")
-    bits, tables = table_plan(classes.count(), threshold, recall)
-    named = known.join(classes, ["_h1", "_h2"])
+    classes = stored(known.groupBy("_h1", "_h2").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("weight"), F.count("*").alias("_rows")), "classes")
+    distinct, total = classes.agg(F.count("*"), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    bits, tables = table_plan(distinct, threshold, recall)
+    named = with_groups(known, classes, ["_h1", "_h2"], "_rows", total)
     heads = stored(hashed(named.where("vec_id = id").dropDuplicates(["id", "_h1", "_h2"]).select("id", "embedding"), bits, tables), "hashed")
     members = heads.select(F.explode("buckets").alias("bucket"), "id")
     payload = heads.select("id", "vector")
@@ -115,8 +116,8 @@ def near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
     links = (dealt_blocks(found.select(F.col("component").alias("bucket"), "id"), weighted, block_rows)
              .mapInArrow(counts, "id bigint, links bigint").groupBy("id").agg(F.sum("links").alias("links")))
     per_class = classes.join(found, "id", "left").join(links, "id", "left").select(
-        "_h1", "_h2", F.coalesce("component", "id").alias("_component"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("_links"))
-    judged = known.select("vec_id", "_h1", "_h2").join(per_class, ["_h1", "_h2"]).select("vec_id", "_links", "_component")
+        "_h1", "_h2", "_rows", F.coalesce("component", "id").alias("_component"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("_links"))
+    judged = with_groups(known.select("vec_id", "_h1", "_h2"), per_class, ["_h1", "_h2"], "_rows", total).select("vec_id", "_links", "_component")
     rest = rows.where("not _valid").select("vec_id", F.lit(0).cast("long").alias("_links"), F.col("vec_id").alias("_component"))
     return judged.unionByName(rest).select(
         "vec_id", F.col("_links").alias("n_links"), F.col("_component").alias("component_id"),

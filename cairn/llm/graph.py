@@ -16,6 +16,22 @@ from pyspark.sql import functions as F
 from cairn.llm.store import shuffle_slots, stored
 
 
+#: a key with more than this share of the rows is hot; there are fewer such keys than its inverse
+HOT_SHARE = 1 / 1000
+
+
+def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` joined to ``groups``, one row per key, whose column ``size`` counts the key's rows out of ``total``.
+
+    Hot keys would fill one task each. There are fewer than ``1 / HOT_SHARE`` of them, so they are broadcast to where
+    their rows lie; all other rows meet their group by a shuffle.
+    """
+    hot = F.col(size) > HOT_SHARE * total
+    often = F.broadcast(groups.where(hot))
+    rest = rows.join(often.select(*keys), keys, "left_anti").join(groups.where(~hot), keys)
+    return rows.join(often, keys).unionByName(rest)
+
+
 def dealt_blocks(members: DataFrame, payload: DataFrame, block_rows: int) -> DataFrame:
     """``bucket, i, j, own, id`` and the payload columns, dealt and sorted by ``bucket, i, j``.
 
@@ -23,7 +39,7 @@ def dealt_blocks(members: DataFrame, payload: DataFrame, block_rows: int) -> Dat
     """
     sizes = members.groupBy("bucket").count().where("count > 1")
     blocks = F.ceil(F.col("count") / block_rows).cast("int")
-    placed = members.join(sizes, "bucket").select(
+    placed = with_groups(members, sizes, ["bucket"], "count", members.count()).select(
         "bucket", "id", blocks.alias("_blocks"), F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int").alias("own"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     pairs = placed.select("bucket", "id", "own", other.alias("_other")).select(
@@ -90,7 +106,7 @@ def components(edges: DataFrame) -> DataFrame:
     """``id, component``: the smallest id reachable, for every id of the edges ``a, b`` (alternating stars).
 
     Each round replaces the neighbours of every id by their minimum; rounds are written out, so their number does not
-    lengthen the plan. Minima are aggregates that combine before the shuffle.
+    lengthen the plan. Minima are aggregates that combine before the shuffle, and the centre of a large star is a hot key.
     """
     def settled(frame: DataFrame) -> tuple:
         return frame.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()[:]
@@ -99,10 +115,11 @@ def components(edges: DataFrame) -> DataFrame:
     before = settled(pairs)
     while before[0]:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("_v")).select(F.col("u").alias("_u"), F.least("u", "_v").alias("_m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("_u")).select(F.col("v").alias("u"), F.col("_m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("_m")).select(F.col("u").alias("_u"), "_m")
-        small = large.join(lowest, F.col("u") == F.col("_u")).select(
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("_m"), F.count_if(F.col("v") > F.col("u")).alias("_n"))
+        large = with_groups(both.where("v > u"), least, ["u"], "_n", before[0]).select(F.col("v").alias("u"), F.col("_m").alias("v")).distinct()
+        lowest = large.groupBy("u").agg(F.min("v").alias("_m"), F.count("*").alias("_n"))
+        # the pairs do not grow in number, so before[0] bounds those of this half round too
+        small = with_groups(large, lowest, ["u"], "_n", before[0]).select(
             F.when(F.col("v") == F.col("_m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("_m").alias("v")).distinct()
         pairs = stored(small, "edges")
         after = settled(pairs)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.embeddings import edge_batch
-from cairn.llm.graph import Forest, components, dealt_blocks, fixed_rows, whole_groups
+from cairn.llm.graph import Forest, components, dealt_blocks, fixed_rows, whole_groups, with_groups
 from cairn.llm.store import stored
 from cairn.llm.words import hashed_words, mix, text_slices, window_hashes
 
@@ -199,8 +199,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = components(exact.where("b is not null").select("a", "b"))
     links = exact.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     per_class = classes.join(found, "id", "left").join(links, "id", "left").select(
-        "h1", "h2", F.coalesce("component", "id").alias("_class"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("_links"))
-    judged = named.select("doc_id", "h1", "h2").join(per_class, ["h1", "h2"]).select("doc_id", "_class", "_links")
+        "h1", "h2", "weight", F.coalesce("component", "id").alias("_class"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("_links"))
+    judged = with_groups(named.select("doc_id", "h1", "h2"), per_class, ["h1", "h2"], "weight", rows.count()).select("doc_id", "_class", "_links")
     rest = rows.where("doc_id is null or h1 is null").select("doc_id", F.col("doc_id").alias("_class"), F.lit(0).cast("long").alias("_links"))
     return judged.unionByName(rest).select(
         "doc_id", F.col("_class").alias("class_id"), F.col("_links").alias("n_links"),
