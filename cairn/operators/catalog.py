@@ -1,12 +1,14 @@
 """Matching tables and business terms to an entity catalog.
 
 A catalog has one row per (entity, column); text searches and scores work on tokens, so
-terms meet descriptions through equality joins on words.
+terms meet descriptions word by word. The terms of a search or a score are a short list
+given by the caller; the catalog is the table, read once.
 """
 
 from __future__ import annotations
 
 import difflib
+import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -24,7 +26,7 @@ NO_ENTRY, ABOVE, BELOW = ("No catalog entry", "Above threshold",
                           "Below threshold — review for CDM exception")
 SYNONYM_FACTOR, DESCRIPTION_FACTOR = 0.9, 0.8
 SCORE_WEIGHTS = {"synonym_score": 0.6, "description_score": 0.3, "column_bonus": 0.1}
-STEMS = ((r"^(.+)s$", 3), (r"^(.+)ing$", 5), (r"^(.+)tion$", 6))
+STEMS = {"s": 3, "ing": 5, "tion": 6}
 FUZZY_CUTOFF, SHORT_WORD = 0.8, 3
 WORD, LETTERS = "[a-z0-9]+", "[a-z]+"
 
@@ -171,67 +173,62 @@ def tokens(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     words = F.regexp_extract_all(F.lower(text), F.lit(f"({LETTERS})"), F.lit(1))
 
-    def stemmed(pattern: str, longer: int) -> Column:
-        fitting = F.filter(words, lambda w: w.rlike(pattern) & (F.length(w) > longer))
-        return F.transform(fitting, lambda w: F.regexp_extract(w, pattern, 1))
+    def forms(w: Column) -> Column:
+        stems = [F.when(w.endswith(end) & (F.length(w) > longer), F.left(w, F.length(w) - len(end)))
+                 for end, longer in STEMS.items()]
+        return F.array(w, *stems)
 
-    stems = [stemmed(pattern, longer) for pattern, longer in STEMS]
-    return F.array_distinct(F.concat(words, *stems))
+    return F.array_distinct(F.array_compact(F.flatten(F.transform(words, forms))))
 
 
-def _by_token(df: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
-    """One row per token, with the size of the row's token set."""
-    listed = df.select(*keep, tokens(F.col(text)).alias("__t"))
-    return listed.select(*keep, F.size("__t").alias(f"__n_{text}"), F.explode("__t").alias("token"))
+def phrase_tokens(phrase: str) -> list[str]:
+    """The :func:`tokens` of a phrase given by the caller."""
+    words = re.findall(LETTERS, phrase.lower())
+    stems = [w[:-len(end)] for w in words for end, longer in STEMS.items() if w.endswith(end) and len(w) > longer]
+    return sorted({*words, *stems})
 
 
-def synonym_match(concepts: DataFrame, synonyms: DataFrame) -> DataFrame:
-    """Score business concepts against a curated synonym list.
+def _asked(concepts: Sequence[str]) -> Column:
+    """Each concept once, as a row next to every row: ``_.concept``, ``_.phrase``, ``_.tokens``."""
+    if not concepts:
+        raise ValueError("a score needs at least one concept")
+    texts = lambda values: F.array(*map(F.lit, values)).cast("array<string>")
+    return F.explode(F.array(*[
+        F.struct(F.lit(c).alias("concept"), F.lit(c.lower().strip(" ")).alias("phrase"), texts(phrase_tokens(c)).alias("tokens"))
+        for c in dict.fromkeys(concepts)])).alias("_")
+
 
-    ``concepts``: (concept); ``synonyms``: (synonym, entity, note, position). Equal
-    phrases score 1, otherwise shared tokens count against the larger token set. Per
-    concept and entity the *first* matching synonym in list order decides, even where a
-    later one would score higher.
+def synonym_match(concepts: Sequence[str], synonyms: DataFrame) -> DataFrame:
+    """Score business concepts against a curated synonym list.
 
-    The first match of an entity is the smallest of the first matches of the concept's
-    tokens, so the list is reduced to one position per (token, entity) before it meets
-    the concepts: a token shared by many concepts and many synonyms makes no pairs of
-    them. Only the winners are scored.
+    ``synonyms``: (synonym, entity, note, position). Equal phrases score 1, otherwise shared
+    tokens count against the larger token set. Per concept and entity the *first* matching
+    synonym in list order decides, even where a later one would score higher. The list is
+    read once; firsts are an aggregate, so nothing grows but with the number of entities.
     """
-    asked = concepts.select("concept").distinct().select(
-        "concept", F.trim(F.lower("concept")).alias("phrase"), tokens("concept").alias("tokens"))
-    listed = synonyms.select(
-        "entity", "position", "note", F.trim(F.lower("synonym")).alias("syn_phrase"),
-        tokens(F.trim(F.lower("synonym"))).alias("syn_tokens"))
-
-    def marks(phrase: str, token_list: str) -> Column:
-        # the phrase itself, marked, matches equal phrases that hold no word at all
-        return F.explode(F.concat(F.array(F.concat(F.lit("="), phrase)), token_list))
-
-    first_of_token = listed.select("entity", "position", marks("syn_phrase", "syn_tokens").alias("token")
-                                   ).groupBy("token", "entity").agg(F.min("position").alias("position"))
-    winners = asked.select("concept", marks("phrase", "tokens").alias("token")).join(first_of_token, "token").groupBy(
-        "concept", "entity").agg(F.min("position").alias("position"))
-    scored = winners.join(listed, ["entity", "position"]).join(asked, "concept")
-    shared = F.size(F.array_intersect("tokens", "syn_tokens"))
-    overlap = shared / F.greatest(F.size("tokens"), F.size("syn_tokens"))
-    score = F.when(F.col("phrase") == F.col("syn_phrase"), 1.0).otherwise(F.round(overlap * SYNONYM_FACTOR, 3))
-    return scored.select("concept", "entity", score.alias("synonym_score"), "note")
-
-
-def description_match(concepts: DataFrame, entities: DataFrame) -> DataFrame:
+    phrase = F.trim(F.lower("synonym"))
+    listed = synonyms.select("entity", "position", "note", phrase.alias("phrase"), tokens(phrase).alias("tokens"), _asked(concepts))
+    shared = F.size(F.array_intersect("_.tokens", "tokens"))
+    overlap = shared / F.greatest(F.size("_.tokens"), F.size("tokens"))
+    equal = F.col("_.phrase") == F.col("phrase")
+    scored = listed.where(equal | (shared > 0)).select(
+        "_.concept", "entity", "position", F.struct(
+            F.when(equal, 1.0).otherwise(F.round(overlap * SYNONYM_FACTOR, 3)).alias("score"), "note").alias("found"))
+    first = scored.groupBy("concept", "entity").agg(F.min_by("found", "position").alias("found"))
+    return first.select("concept", "entity", F.col("found.score").alias("synonym_score"), "found.note")
+
+
+def description_match(concepts: Sequence[str], entities: DataFrame) -> DataFrame:
     """Share of a concept's tokens that occur in an entity's description.
 
-    ``concepts``: (concept); ``entities``: (entity, description). Word sets are built per
-    description, so long texts cost their distinct words only. Pairs are counted under
-    the concept's 16-byte digest; its text is attached to the result.
+    ``entities``: (entity, description). Every description is scored in place: one scan and
+    no shuffle, and at most one row per entity and concept asked for.
     """
-    asked = concepts.select("concept").distinct().withColumn("__id", F.unhex(F.md5("concept")))
-    left = _by_token(asked, ["__id"], "concept")
-    right = _by_token(entities, ["entity"], "description").drop("__n_description")
-    shared = left.join(right, "token").groupBy("__id", "entity", "__n_concept").agg(F.count("*").alias("k"))
-    score = F.round(F.col("k") / F.greatest("__n_concept", F.lit(1)) * DESCRIPTION_FACTOR, 3)
-    return shared.join(asked, "__id").select("concept", "entity", score.alias("description_score"))
+    listed = entities.select("entity", tokens("description").alias("tokens"), _asked(concepts))
+    shared = listed.select("_.concept", "entity", F.size("_.tokens").alias("n"),
+                           F.size(F.array_intersect("_.tokens", "tokens")).alias("k"))
+    score = F.round(F.col("k") / F.greatest("n", F.lit(1)) * DESCRIPTION_FACTOR, 3)
+    return shared.where("k > 0").select("concept", "entity", score.alias("description_score"))
 
 
 def combined_score(synonym: DataFrame, description: DataFrame, column_bonus: float = 0.0) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from cairn.sources.inspect import describe, list_tables, sample, table_overview
 from cairn.sources.readers import (
-    catalog_files,
     entity_descriptions,
     load_catalog_dir,
     load_seed,
@@ -11,6 +10,6 @@ from cairn.sources.readers import (
 )
 from cairn.sources.sinks import export, materialize
 
-__all__ = ["catalog_files", "describe", "entity_descriptions", "export", "list_tables",
+__all__ = ["describe", "entity_descriptions", "export", "list_tables",
            "load_catalog_dir", "load_seed", "load_source", "materialize", "register_views", "sample",
            "table_overview"]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,34 +49,35 @@ def load_seed(spark: SparkSession, path: str, schema: StructType | str) -> DataF
         *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
 
 
-def _strings(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.option("header", True).option("quote", '"').option("escape", '"')
-        .option("multiLine", True).csv(path)
-    )
-
-
-def catalog_files(spark: SparkSession, folder: str) -> list[str]:
-    """CSV files of a catalog folder. Only the names are read, not the contents."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return sorted(r.path for r in files.select("path").collect())
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files of each distinct first line; the files are read by tasks, a line each comes back."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("at"))
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    return {r["header"]: sorted(map(unquote, r["files"])) for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()}
 
 
 def load_catalog_dir(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Catalog CSV files with differing columns as one frame of strings.
 
-    ``paths`` is a folder or a list of files (or of folders of equal files). Each is read
-    with its own header and the frames are united by column name; columns a file does
-    not have are NULL. ``_file`` and ``_row`` keep the original order addressable.
+    ``paths`` is a folder or a list of files and folders. Files with the same header line
+    are one scan, however many they are, and the scans are united by column name; columns a
+    file does not have are NULL. ``_file`` and ``_row`` keep the original order addressable.
+    A header is one line.
     """
-    listed = catalog_files(spark, paths) if isinstance(paths, str) else sorted(paths)
-    frames = [
-        _strings(spark, p).withColumns({
-            "_file": F.lit(i), "_row": F.monotonically_increasing_id()})
-        for i, p in enumerate(listed)
-    ]
-    if not frames:
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    found = _headers(spark, listed) if listed else {}
+    if not found:
         raise ValueError("load_catalog_dir needs at least one file")
+    frames = []
+    for header, files in sorted(found.items()):
+        names = next(csv.reader([header.removeprefix("\ufeff")]))
+        schema = StructType([StructField(n, StringType()) for n in names])
+        read = spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+        # a file is read by one task from its start, so ids rise within it
+        frames.append(read.csv(files).withColumns({
+            "_file": F.col("_metadata.file_path"), "_row": F.monotonically_increasing_id()}))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

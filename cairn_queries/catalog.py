@@ -1,7 +1,7 @@
 """Catalog coverage, search, scores and lineage audits.
 
 Brands play the entities and part names the columns of the column catalog; documents
-are the described entries of the text catalog, benchmark texts the business concepts.
+are the described entries of the text catalog; business concepts are a list of phrases.
 """
 
 from __future__ import annotations
@@ -102,48 +102,47 @@ TOKENS_SQL = """list_distinct(list_concat(list_concat(list_concat(regexp_extract
     [x[:-2] for x in regexp_extract_all(lower({0}), '[a-z]+') if right(x, 1) = 's' and length(x) > 3]),
     [x[:-4] for x in regexp_extract_all(lower({0}), '[a-z]+') if right(x, 3) = 'ing' and length(x) > 5]),
     [x[:-5] for x in regexp_extract_all(lower({0}), '[a-z]+') if right(x, 4) = 'tion' and length(x) > 6]))"""
-PHRASE = "if({0} % 4 = 0, p_name || 's testing', p_name)"
+CONCEPTS = ["Red widgets", "hot gear", "small bolts testing", "metal"]
+TOPICS = ["The nation and threes", "Thering of leaux", "blerering"]
+# every fourth synonym is spelled in another form
+SYNONYMS_SQL = "(select if(p_partkey % 4 = 0, p_name || 's testing', p_name) as synonym, p_brand as entity, p_type as note, p_partkey as position from part)"
 
-SYNONYM_SQL = f"""
-    with a as (select distinct {PHRASE.format('p_size')} as concept from part), ct as (select concept, {TOKENS_SQL.format('concept')} as ts from a),
-    s as (select {PHRASE.format('p_partkey')} as synonym, p_brand as entity, p_type as note, p_partkey as position from part where p_size > 20),
-    st as (select *, {TOKENS_SQL.format('synonym')} as ts from s),
-    pair as (select concept, entity, position, note,
-            case when trim(lower(concept)) = trim(lower(synonym)) then 1.0::double
-                 else round(len(list_intersect(ct.ts, st.ts)) / greatest(len(ct.ts), len(st.ts)) * 0.9::double, 3) end as score
-        from ct, st where len(list_intersect(ct.ts, st.ts)) > 0)
-    select concept, entity, arg_min(score, position) as synonym_score, arg_min(note, position) as note from pair group by concept, entity"""
+
+def concept_sql(concepts: list[str]) -> str:
+    values = ", ".join(f"('{c}')" for c in concepts)
+    return f"(select concept, {TOKENS_SQL.format('concept')} as cts from (values {values}) v(concept))"
 
 
-def concepts(t: Tables, key: str = "p_size") -> DataFrame:
-    phrase = F.when(F.col(key) % 4 == 0, F.concat("p_name", F.lit("s testing"))).otherwise(F.col("p_name"))
-    return t.part.withColumn("concept", phrase)
+SYNONYM_SQL = f"""
+    select concept, entity, arg_min(score, position) as synonym_score, arg_min(note, position) as note
+    from (select concept, entity, position, note, trim(lower(concept)) = trim(lower(synonym)) as same, len(list_intersect(cts, sts)) as k,
+              if(same, 1.0::double, round(k / greatest(len(cts), len(sts)) * 0.9::double, 3)) as score
+          from {concept_sql(CONCEPTS)}, (select *, {TOKENS_SQL.format('synonym')} as sts from {SYNONYMS_SQL}))
+    where same or k > 0 group by concept, entity"""
 
 
 def synonyms(t: Tables) -> DataFrame:
-    return concepts(t, "p_partkey").where(F.col("p_size") > 20).select(
-        F.col("concept").alias("synonym"), F.col("p_brand").alias("entity"), F.col("p_type").alias("note"),
-        F.col("p_partkey").alias("position"))
+    phrase = F.when(F.col("p_partkey") % 4 == 0, F.concat("p_name", F.lit("s testing"))).otherwise(F.col("p_name"))
+    return t.part.select(phrase.alias("synonym"), F.col("p_brand").alias("entity"), F.col("p_type").alias("note"),
+                         F.col("p_partkey").alias("position"))
 
 
 @query("synonym_match", "M5", SYNONYM_SQL)
 def _(t: Tables) -> DataFrame:
-    return c.synonym_match(concepts(t), synonyms(t))
+    return c.synonym_match(CONCEPTS, synonyms(t))
 
 
-def description_sql(concept_source: str, entity_source: str) -> str:
+def description_sql(concepts: list[str], entity_source: str) -> str:
     return f"""
-    with ct as (select concept, {TOKENS_SQL.format('concept')} as ts from (select distinct concept from {concept_source})),
-    et as (select entity, unnest({TOKENS_SQL.format('description')}) as token from {entity_source}),
-    x as (select concept, len(ts) as n, unnest(ts) as token from ct)
-    select concept, entity, round(count(*) / greatest(n, 1) * 0.8::double, 3) as description_score from x join et using (token) group by concept, entity, n"""
+    select concept, entity, round(k / greatest(len(cts), 1) * 0.8::double, 3) as description_score
+    from (select concept, entity, cts, len(list_intersect(cts, dts)) as k
+          from {concept_sql(concepts)}, (select entity, {TOKENS_SQL.format('description')} as dts from {entity_source}))
+    where k > 0"""
 
 
-@query("description_match", "M6", description_sql(
-    "(select text as concept from benchmark)", "(select doc_id as entity, text as description from documents)"))
+@query("description_match", "M6", description_sql(TOPICS, "(select doc_id as entity, text as description from documents)"))
 def _(t: Tables) -> DataFrame:
-    return c.description_match(t.benchmark.select(F.col("text").alias("concept")),
-                               t.documents.select(F.col("doc_id").alias("entity"), F.col("text").alias("description")))
+    return c.description_match(TOPICS, t.documents.select(F.col("doc_id").alias("entity"), F.col("text").alias("description")))
 
 
 # One description per brand: its first and last part name.
@@ -151,7 +150,7 @@ BRANDS_SQL = "(select p_brand as entity, min(p_name) || ' and ' || max(p_name) a
 
 
 @query("combined_score", "M7", f"""
-    with syn as ({SYNONYM_SQL}), des as ({description_sql(f"(select {PHRASE.format('p_size')} as concept from part)", BRANDS_SQL)})
+    with syn as ({SYNONYM_SQL}), des as ({description_sql(CONCEPTS, BRANDS_SQL)})
     select concept, entity, coalesce(synonym_score, 0) as synonym_score, coalesce(description_score, 0) as description_score,
         if(synonym_score is null, 0, 0.5)::double as column_bonus,
         round(0.6::double * coalesce(synonym_score, 0) + 0.3::double * coalesce(description_score, 0) + 0.1::double * if(synonym_score is null, 0, 0.5), 3) as final_score
@@ -159,7 +158,7 @@ BRANDS_SQL = "(select p_brand as entity, min(p_name) || ' and ' || max(p_name) a
 def _(t: Tables) -> DataFrame:
     brands = t.part.groupBy(F.col("p_brand").alias("entity")).agg(
         F.concat(F.min("p_name"), F.lit(" and "), F.max("p_name")).alias("description"))
-    return c.combined_score(c.synonym_match(concepts(t), synonyms(t)), c.description_match(concepts(t), brands), 0.5)
+    return c.combined_score(c.synonym_match(CONCEPTS, synonyms(t)), c.description_match(CONCEPTS, brands), 0.5)
 
 
 # --- lineage: parts are models, line items the edges between them

@@ -469,3 +469,10 @@ def _(t: Tables) -> DataFrame:
     return joins.left_lookup(spine, daily, ["date_day"], ["n"]).select("date_day", fn.zero("n").alias("orders_that_day"))
 
 
+@query("date_spine_fixed", "I2", """
+    select cast(d as date) as date_day, count(o_orderkey) as orders_that_day from range(timestamp '1994-01-01', timestamp '1997-01-01', interval 1 day) s(d)
+    left join orders on cast(o_orderdate as date) = cast(d as date) group by 1""")
+def _(t: Tables) -> DataFrame:
+    spine = reshape.date_spine(t.spark, "1994-01-01", "1997-01-01")
+    daily = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("date_day")).agg(F.count("*").alias("n"))
+    return joins.left_lookup(spine, daily, ["date_day"], ["n"]).select("date_day", fn.zero("n").alias("orders_that_day"))

@@ -45,13 +45,14 @@ def _(t: Tables) -> DataFrame:
     select p_brand as entity, p_name as attribute, p_type as semantic, null as display from part
     union all select s_name, 'a' || s_suppkey, null, 'Supplier ' || s_suppkey from supplier""")
 def _(t: Tables) -> DataFrame:
+    # one folder of many files with two headers
     path = fresh_folder(t)
-    t.part.select(F.col("p_brand").alias("entity"), F.col("p_name").alias("attribute"), F.col("p_type").alias("semantic")
-                  ).write.option("header", True).csv(f"{path}/a")
+    t.part.repartition(5).select(F.col("p_brand").alias("entity"), F.col("p_name").alias("attribute"), F.col("p_type").alias("semantic")
+                  ).write.option("header", True).csv(path)
     k = F.col("s_suppkey").cast("string")
     t.supplier.select(F.concat(F.lit("Supplier "), k).alias("display"), F.col("s_name").alias("entity"),
-                      F.concat(F.lit("a"), k).alias("attribute")).write.option("header", True).csv(f"{path}/b")
-    return sources.load_catalog_dir(t.spark, [f"{path}/a", f"{path}/b"]).select("entity", "attribute", "semantic", "display")
+                      F.concat(F.lit("a"), k).alias("attribute")).repartition(3).write.mode("append").option("header", True).csv(path)
+    return sources.load_catalog_dir(t.spark, path).select("entity", "attribute", "semantic", "display")
 
 
 @query("entity_first_description", "A3", """
@@ -88,6 +89,16 @@ def _(t: Tables) -> DataFrame:
     return sources.table_overview({name: getattr(t, name) for name in ALL})
 
 
+@query("table_listing", "A7", " union all ".join(
+    f"select 'listed_{name}' as table_name, 'TEMPORARY' as table_type, {n} as column_count, count(*) as row_count from {name}"
+    for name, n in zip(ALL, COLUMN_COUNTS)))
+def _(t: Tables) -> DataFrame:
+    frames = {f"listed_{name}": getattr(t, name) for name in ALL}
+    sources.register_views(frames)
+    counts = sources.table_overview(frames).select("table_name", "row_count")
+    return sources.list_tables(t.spark).join(counts, "table_name").select("table_name", "table_type", "column_count", "row_count")
+
+
 @query("described_columns", "A6", """
     select 0 as position, 'event_id' as column_name, 'bigint' as data_type, true as nullable, count(event_id) as filled_rows from events
     union all select 1, 'ts', 'timestamp_ntz', true, count(ts) from events union all select 2, 'user_id', 'bigint', true, count(user_id) from events

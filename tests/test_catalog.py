@@ -64,16 +64,14 @@ def test_first_synonym_wins_even_with_lower_score(spark, rows):
     synonyms = spark.createDataFrame([
         ("camp site booking", "Visit", "first", 1), ("campsite", "Asset", "x", 2), ("booking", "Visit", "later", 3)],
         "synonym string, entity string, note string, position int")
-    concepts = spark.createDataFrame([("Booking",), ("nothing",)], "concept string")
     n = len(python_tokens("camp site booking"))
     score = round(len(python_tokens("booking")) / n * 0.9, 3)
-    assert rows(c.synonym_match(concepts, synonyms)) == [("Booking", "Visit", score, "first")]
+    assert rows(c.synonym_match(["Booking", "nothing"], synonyms)) == [("Booking", "Visit", score, "first")]
 
 
 def test_equal_phrase_scores_one(spark, rows):
     synonyms = spark.createDataFrame([(" Park ", "Asset", "n", 1)], "synonym string, entity string, note string, position int")
-    concepts = spark.createDataFrame([("park",)], "concept string")
-    assert rows(c.synonym_match(concepts, synonyms), "entity", "synonym_score") == [("Asset", 1.0)]
+    assert rows(c.synonym_match(["park"], synonyms), "entity", "synonym_score") == [("Asset", 1.0)]
 
 
 def brute_force_synonyms(concepts, synonyms):
@@ -98,16 +96,14 @@ def test_synonyms_match_brute_force(spark):
     phrases = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 3))) for _ in range(60)] + ["42", "42 "]
     synonyms = [(p, rng.choice("ABC"), f"n{i}", i) for i, p in enumerate(phrases)]
     concepts = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 3))) for _ in range(40)] + ["42"]
-    found = c.synonym_match(spark.createDataFrame([(x,) for x in concepts], "concept string"),
-                            spark.createDataFrame(synonyms, "synonym string, entity string, note string, position int"))
+    found = c.synonym_match(concepts, spark.createDataFrame(synonyms, "synonym string, entity string, note string, position int"))
     assert sorted(tuple(r) for r in found.collect()) == brute_force_synonyms(concepts, synonyms)
 
 
 def test_description_and_combined_score(spark, rows):
-    concepts = spark.createDataFrame([("park visit",)], "concept string")
     entities = spark.createDataFrame([("Asset", "A park"), ("Visit", "visit to a park"), ("Case", "none")],
                                      "entity string, description string")
-    described = c.description_match(concepts, entities)
+    described = c.description_match(["park visit"], entities)
     assert rows(described, "entity", "description_score") == [("Asset", 0.4), ("Visit", 0.8)]
     synonyms = spark.createDataFrame([("park visit", "Asset", 1.0)], "concept string, entity string, synonym_score double")
     found = c.combined_score(synonyms, described, column_bonus=0.5)

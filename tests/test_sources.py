@@ -20,9 +20,10 @@ def test_seed_skips_bad_rows_and_reads_quotes(spark, tmp_path, rows):
 def test_catalog_folder_unites_columns_and_first_description(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text("entity,description\nPark, \nPark,first\nPark,second\n")
     (tmp_path / "b.csv").write_text("entity,extra,description\nCase,x,\nCase,y,case text\n")
+    (tmp_path / "c 1.csv").write_text("entity,description\nPark,third\n")
     (tmp_path / "ignored.txt").write_text("entity\nNo\n")
     catalog = sources.load_catalog_dir(spark, str(tmp_path))
-    assert rows(catalog.select("entity", "extra")) == [("Case", "x"), ("Case", "y")] + [("Park", None)] * 3
+    assert rows(catalog.select("entity", "extra")) == [("Case", "x"), ("Case", "y")] + [("Park", None)] * 4
     assert rows(sources.entity_descriptions(catalog, "entity", "description", "_file", "_row")) == [
         ("Case", "case text"), ("Park", "first")]
 
