@@ -25,11 +25,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.names import ddl, free_names
 from cairn.llm.words import byte_table
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
-MARKS = "_words bigint, _spans array<struct<start:bigint,end:bigint>>, _items array<string>"
+MARKS = ("_words", "_spans", "_items")
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -169,13 +170,17 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def mark_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with ``_words`` (number), ``_spans`` (hit word spans) and ``_items`` (items with occurring windows)."""
-    spark, columns = docs.sparkSession, docs.columns
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    text_at = columns.index("text")
-    marked = docs.withColumns({"_words": F.lit(None).cast("bigint"), "_spans": F.array().cast("array<struct<start:bigint,end:bigint>>"),
-                               "_items": F.array().cast("array<string>")})
+def mark_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
+                   marks: tuple[str, str, str] = MARKS) -> DataFrame:
+    """``docs`` with ``marks``: the number of words, the hit word spans, and the items with occurring windows.
+
+    Columns of those names are replaced.
+    """
+    docs = docs.drop(*marks)
+    spark, text_at = docs.sparkSession, docs.columns.index("text")
+    kinds = ("bigint", "array<struct<start:bigint,end:bigint>>", "array<string>")
+    marked = docs.withColumns({name: (F.array() if k else F.lit(None)).cast(kinds[k]) for k, name in enumerate(marks)})
+    schema = ddl(marked)
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def passes(automaton: ItemAutomaton):
@@ -185,7 +190,7 @@ def mark_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             automaton = pickle.loads(shared.value)
             for batch in batches:
                 counts, all_spans, all_items = [], [], []
-                old_spans, old_items = batch.column("_spans").to_pylist(), batch.column("_items").to_pylist()
+                old_spans, old_items = (c.to_pylist() for c in batch.columns[-2:])
                 for i, text in enumerate(batch.column(text_at)):
                     words = words_of(text.as_py())
                     spans, items = automaton.mark(words)
@@ -200,10 +205,10 @@ def mark_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     blocks = 0
     for automaton in item_blocks(benchmark, window, block_words):
-        marked = marked.mapInArrow(passes(automaton), f"{kinds}, {MARKS}")
+        marked = marked.mapInArrow(passes(automaton), schema)
         blocks += 1
     if not blocks:
-        marked = marked.mapInArrow(passes(ItemAutomaton(window).finish()), f"{kinds}, {MARKS}")
+        marked = marked.mapInArrow(passes(ItemAutomaton(window).finish()), schema)
     return marked
 
 
@@ -213,24 +218,23 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max
     A removed span runs from its first word to the next word after it, so what follows keeps its own separators. The
     columns are those of ``docs``.
     """
-    columns = docs.columns
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    text_at = columns.index("text")
-    marked = mark_documents(docs, benchmark, window)
-    hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    kept = marked.where((F.size("_spans") == 0) | (hit <= max_share * F.col("_words"))).select(*columns, "_spans")
+    text_at = docs.columns.index("text")
+    words, hits, items = free_names(docs, *MARKS)
+    marked = mark_documents(docs, benchmark, window, marks=(words, hits, items))
+    hit = F.aggregate(hits, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    kept = marked.where((F.size(hits) == 0) | (hit <= max_share * F.col(words))).select(*docs.columns, hits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(text_at).to_pylist()
-            for i, spans in enumerate(batch.column("_spans").to_pylist()):
+            for i, spans in enumerate(batch.columns[-1].to_pylist()):
                 if spans:
                     texts[i] = without(texts[i], [(s["start"], s["end"]) for s in spans])
             arrays = list(batch.columns[:-1])
             arrays[text_at] = pa.array(texts, arrays[text_at].type)
             yield pa.RecordBatch.from_arrays(arrays, batch.schema.names[:-1])
 
-    return kept.mapInArrow(cut, kinds)
+    return kept.mapInArrow(cut, ddl(docs))
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from cairn.llm.embeddings import edge_batch
 from cairn.llm.graph import Forest, components, dealt_blocks, fixed_rows, whole_groups, with_groups
+from cairn.llm.names import free_names
 from cairn.llm.store import stored
 from cairn.llm.words import hashed_words, mix, text_slices, window_hashes
 
@@ -209,8 +210,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def drop_near(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest ``doc_id``, once."""
-    away = near_duplicates(docs, threshold).where("not kept").select(F.col("doc_id").alias("_away")).distinct()
-    kept = docs.join(away.hint("shuffle_hash"), F.col("doc_id") == F.col("_away"), "left_anti")
-    return kept
+    name, = free_names(docs, "_away")
+    away = near_duplicates(docs, threshold).where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(away.hint("shuffle_hash"), F.col("doc_id") == F.col(name), "left_anti")
 
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.names import ddl
 from cairn.llm.words import byte_table, text_slices
 
 BUCKETS = 8192
@@ -145,7 +146,8 @@ def fit_languages(docs: DataFrame, buckets: int = BUCKETS) -> OutputCode:
 
 
 def predict_language(docs: DataFrame, model: OutputCode) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``lang_score`` and ``ambiguous``."""
+    """``docs`` with ``lang_pred``, ``lang_score`` and ``ambiguous``, in place of columns of those names."""
+    docs = docs.drop("lang_pred", "lang_score", "ambiguous")
     text_at = docs.columns.index("text")
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,5 +157,4 @@ def predict_language(docs: DataFrame, model: OutputCode) -> DataFrame:
                 [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(close)],
                 [*batch.schema.names, "lang_pred", "lang_score", "ambiguous"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(predicted, f"{kinds}, lang_pred string, lang_score double, ambiguous boolean")
+    return docs.mapInArrow(predicted, f"{ddl(docs)}, lang_pred string, lang_score double, ambiguous boolean")

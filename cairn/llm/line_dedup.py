@@ -8,7 +8,7 @@ are broadcast to the lines where they lie. The sample only chooses the way; eith
 
 Defined results: null or empty text is one empty line; a null ``doc_id`` neither counts as a document nor loses lines;
 rows that repeat a ``doc_id`` count as one document (each text has its own bitmap); equal lines of one document stay
-or go together; extra columns pass through ``drop_lines`` untouched.
+or go together; extra columns pass through ``drop_lines`` untouched, but for those named like its two counts: these are replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn.llm.names import free_names
 from cairn.llm.store import shuffle_slots, stored
 
 MIN_CHARS = 40
@@ -86,14 +87,16 @@ def kept_text(text: Column, dropped: Column) -> Column:
     return F.when(dropped.isNull(), whole).otherwise(F.array_join(F.filter(F.split(whole, "\n"), stays), "\n"))
 
 
-def drop_lines(docs: DataFrame, bitmaps: DataFrame | None = None, **limits) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text``, plus ``n_lines`` (before) and ``n_dropped``."""
+def drop_lines(docs: DataFrame, bitmaps: DataFrame | None = None, counts: tuple[str, str] = ("n_lines", "n_dropped"), **limits) -> DataFrame:
+    """``docs`` with the repeated lines taken out of ``text``, plus the two ``counts``: lines before, and lines dropped."""
     bitmaps = keep_bitmaps(docs, **limits) if bitmaps is None else bitmaps
-    marks = bitmaps.select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_tid"),
-                           F.col("n_dropped").alias("_gone"), F.col("dropped").alias("_dropped"))
-    joined = docs.withColumn("_own", text_id(F.col("text"))).join(
-        marks.hint("shuffle_hash"), (F.col("doc_id") == F.col("_doc")) & (F.col("_own") == F.col("_tid")), "left")
+    docs = docs.drop(*counts)
+    own, doc, tid, gone, dropped = free_names(docs, "_own", "_doc", "_tid", "_gone", "_dropped")
+    marks = bitmaps.select(F.col("doc_id").alias(doc), F.col("text_id").alias(tid),
+                           F.col("n_dropped").alias(gone), F.col("dropped").alias(dropped))
+    joined = docs.withColumn(own, text_id(F.col("text"))).join(
+        marks.hint("shuffle_hash"), (F.col("doc_id") == F.col(doc)) & (F.col(own) == F.col(tid)), "left")
     text = F.coalesce(F.col("text"), F.lit(""))
     return joined.withColumns({
-        "n_lines": F.size(F.split(text, "\n")).cast("long"), "n_dropped": F.coalesce("_gone", F.lit(0)).cast("long"),
-        "text": kept_text(F.col("text"), F.col("_dropped"))}).drop("_own", "_doc", "_tid", "_gone", "_dropped")
+        counts[0]: F.size(F.split(text, "\n")).cast("long"), counts[1]: F.coalesce(gone, F.lit(0)).cast("long"),
+        "text": kept_text(F.col("text"), F.col(dropped))}).drop(own, doc, tid, gone, dropped)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.names import ddl, quoted
 from cairn.llm.words import hashed_words, text_slices
 
 FIT_ROWS = 20_000
@@ -130,7 +131,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out_fold: int | None =
 
 
 def score_quality(docs: DataFrame, model: QuadraticDiscriminant, column: str = "quality_score") -> DataFrame:
-    """``docs`` with the probability that label 1 applies."""
+    """``docs`` with the probability that label 1 applies, in place of a column of that name."""
+    docs = docs.drop(column)
     text_at = docs.columns.index("text")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,5 +140,4 @@ def score_quality(docs: DataFrame, model: QuadraticDiscriminant, column: str = "
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(model.score(statistics(batch.column(text_at))))], [*batch.schema.names, column])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(scored, f"{kinds}, `{column}` double")
+    return docs.mapInArrow(scored, f"{ddl(docs)}, {quoted(column)} double")

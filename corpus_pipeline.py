@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import decontaminate, jaccard, line_dedup, packing, quality
+from cairn.llm.names import free_names
 from cairn.llm.store import shared_root
 
 
@@ -23,12 +24,13 @@ def recounted(docs: DataFrame, like: DataFrame) -> DataFrame:
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject, unchanged."""
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out_fold=None)
-    return quality.score_quality(docs, model, "_score").where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    score, = free_names(docs, "_score")
+    return quality.score_quality(docs, model, score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Long lines of many documents stay in one of them."""
-    return recounted(line_dedup.drop_lines(docs), docs)
+    return recounted(line_dedup.drop_lines(docs, counts=tuple(free_names(docs, "n_lines", "n_dropped"))), docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
