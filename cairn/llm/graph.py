@@ -23,13 +23,15 @@ HOT_SHARE = 1 / 1000
 def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
     """``rows`` joined to ``groups``, one row per key, whose column ``size`` counts the key's rows out of ``total``.
 
-    Hot keys would fill one task each. There are fewer than ``1 / HOT_SHARE`` of them, so they are broadcast to where
-    their rows lie; all other rows meet their group by a shuffle.
+    Hot keys would fill one task each, so their rows are dealt into parts of a ``HOT_SHARE`` of all rows, and their group is
+    repeated per part. There are fewer than ``1 / HOT_SHARE`` such keys; their numbers of parts are broadcast.
     """
-    hot = F.col(size) > HOT_SHARE * total
-    often = F.broadcast(groups.where(hot))
-    rest = rows.join(often.select(*keys), keys, "left_anti").join(groups.where(~hot), keys)
-    return rows.join(often, keys).unionByName(rest)
+    parted = groups.withColumn("_parts", F.greatest(F.ceil(F.col(size) / F.lit(max(HOT_SHARE * total, 1e-9))), F.lit(1)).cast("long"))
+    often = F.broadcast(parted.where("_parts > 1").select(*keys, "_parts"))
+    dealt = rows.withColumn("_hash", F.xxhash64(*rows.columns)).join(often, keys, "left").withColumn(
+        "_part", F.pmod("_hash", F.coalesce("_parts", F.lit(1)))).drop("_hash", "_parts")
+    each = parted.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
+    return dealt.join(each, [*keys, "_part"]).drop("_part")
 
 
 def dealt_blocks(members: DataFrame, payload: DataFrame, block_rows: int) -> DataFrame:
@@ -117,6 +119,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("_m"), F.count_if(F.col("v") > F.col("u")).alias("_n"))
         large = with_groups(both.where("v > u"), least, ["u"], "_n", before[0]).select(F.col("v").alias("u"), F.col("_m").alias("v")).distinct()
+        large = stored(large, "edges")  # read twice below
         lowest = large.groupBy("u").agg(F.min("v").alias("_m"), F.count("*").alias("_n"))
         # the pairs do not grow in number, so before[0] bounds those of this half round too
         small = with_groups(large, lowest, ["u"], "_n", before[0]).select(
