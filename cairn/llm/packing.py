@@ -23,17 +23,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEQUENCE, END_TOKEN = 1024, 2
+#: added token of the tokenizer file; it is matched inside texts before words are
+ADDED = "<|endoftext|>", 50256
 OPEN_BINS, BLOCK = 8192, 16_384
 INPUT_PER_PACKER = 8
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHED_PIECES, CACHED_CHARS = 400_000, 64
 
 
-def encoder(ranks_path: str) -> Callable[[str], bytes]:
+def encoder(ranks_path: str, added: tuple[str, int] | None = None) -> Callable[[str], bytes]:
     """Text to token ids as little-endian uint32 bytes, for a byte-level vocabulary given as ranks.
 
     A space before a visible character always begins a new token, so words are encoded one at a time and remembered.
-    Texts with white space after a space go to the tokenizer whole.
+    Texts with white space after a space go to the tokenizer whole. Texts are split at the ``added`` token, which is not
+    among the ranks, and the parts encoded as texts of their own.
     """
     import base64
     import re
@@ -65,7 +68,11 @@ def encoder(ranks_path: str) -> Callable[[str], bytes]:
         first, *rest = text.split(" ")
         return (encode(first) if first else b"") + b"".join(map(words.__getitem__, rest))
 
-    return ids
+    if added is None:
+        return ids
+    token, number = added
+    between = np.array([number], dtype="<u4").tobytes()
+    return lambda text: between.join(map(ids, text.split(token))) if token in text else ids(text)
 
 
 def cut(ids: bytes, size: int) -> Iterator[tuple[int, int]]:
@@ -85,7 +92,7 @@ def tokenise(docs: DataFrame, ranks_path: str, sequence: int = SEQUENCE, with_id
     schema = pa.schema(fields + ([("ids", pa.list_(pa.int32()))] if with_ids else []))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(ranks_path)
+        ids_of = encoder(ranks_path, ADDED)
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -131,6 +131,26 @@ def test_tokens_equal_the_tokenizer_file():
         assert np.frombuffer(ids(text), "<u4").tolist() == want, text
 
 
+def test_added_token_is_matched_inside_texts(spark):
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # its defaults untouched
+    assert {t.content: k for k, t in reference.get_added_tokens_decoder().items()} == dict([packing.ADDED])
+    token, ranks = packing.ADDED[0], public_tokenizers.path("byte_bpe_50k.tiktoken")
+    random.seed(5)
+    texts = [f"a {token} b", token, token * 3, f" {token} ", f"x  {token}\n\n y", f"<|{token}|>", "<|endoftext |>", token.upper(), f"{token} a" * 600]
+    texts += ["".join(random.choices([token, "ab", " ", "\n", "é", "'s", "<|", "1"], k=20)) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {(r.doc_id, r.start): (r.length, r.ids_crc32, r.ids) for r in packing.tokenise(docs, ranks, with_ids=True).collect()}
+    want = {}
+    for k, text in enumerate(texts):
+        ids = [*reference.encode(text, add_special_tokens=False).ids, packing.END_TOKEN]
+        for start, n in packing.cut(np.array(ids, "<u4").tobytes(), 1024):
+            part = ids[start: start + n]
+            want[k, start] = (n, zlib.crc32(np.array(part, "<u4").tobytes()), part)
+    assert got == want and got[0, 0][2] == [64, 220, 50256, 275, 2]
+
+
 def test_bins_close_fullest_first():
     bins = packing.BestFit(10, 2)
     assert [bins.place(n) for n in (6, 5, 3)] == [(0, 0), (1, 0), (0, 6)]
