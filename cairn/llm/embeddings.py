@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from cairn.llm.graph import Forest, components, dealt_blocks, fixed_rows, whole_groups, with_groups
 from cairn.llm.store import stored
 
-THRESHOLD, RECALL = 0.9, 0.995
+THRESHOLD, RECALL = 0.9, 0.99999
 BUCKET_ROWS, BLOCK_ROWS = 16, 2048
 SEED = 11
 

@@ -107,6 +107,20 @@ def test_embeddings_against_brute_force(spark):
     assert embeddings.near_dedup(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_isolated_pairs_at_the_threshold_meet(spark):
+    """1,500 pairs just above cosine 0.9 with the production recall; at 0.995 some of them met in no bucket."""
+    random_ = np.random.default_rng(8)
+    x = random_.standard_normal((1500, 64))
+    away = random_.standard_normal((1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away -= (away * x).sum(1, keepdims=True) * x
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    y = 0.9001 * x + np.sqrt(1 - 0.9001**2) * away
+    data = [(2 * k + i, v.tolist()) for k, pair in enumerate(zip(x, y)) for i, v in enumerate(pair)]
+    out = embeddings.near_dedup(spark.createDataFrame(data, "vec_id bigint, embedding array<double>")).collect()
+    assert len(out) == 3000 and [r.vec_id for r in out if (r.n_links, r.component_id) != (1, r.vec_id // 2 * 2)] == []
+
+
 def test_packing(odd, none):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     out = packing.pack_documents(odd, ranks).toPandas()
