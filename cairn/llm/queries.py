@@ -14,9 +14,12 @@ from cairn.llm import (
     language,
     line_dedup,
     packing,
+    personal,
     quality,
+    resample,
     sharding,
     suffixes,
+    turn_trie,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -92,6 +95,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["base"])
+    counts = (F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal.BASE_KINDS)  # noqa: B023
+    return personal.tag_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", *counts, F.sha2(F.encode(personal.span_text(base), "UTF-8"), 256).alias("base_sha256"), personal.span_text(F.col("spans")).alias("spans"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.prefix_nodes(turn_trie.rebuilt_sequences(table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,7 +118,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_chat_format, op3_embedding_near_dedup, op4_best_fit_packing, op5_ring_sharding, op6_quality, op7_language,
-    op8_decontamination, op9_suffix_dedup, op10_jaccard_join, pipeline)}
+    op8_decontamination, op9_suffix_dedup, op10_jaccard_join, op11_personal_data, op12_resample, op13_prefix_trie, pipeline)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -111,6 +129,19 @@ reach as (
   select e.b, r.low from reach r join edges e on e.a = r.node where r.low < e.b)
 """
 
+# the CRC-32 of a text: a table of 256 entries from its rule, then a step per byte
+CRC_TABLE = """
+crc_table as (select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k:
+                case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)) as t)"""
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of ``text``, where ``t`` of ``crc_table`` is in scope."""
+    byte = f"('0x' || substr(hex(encode({text})), (2 * i + 1)::int, 2))::bigint"
+    return (f"xor(list_reduce(list_transform(range(octet_length(encode({text}))), lambda i: {byte}), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)")
+
+
 ORACLE = {
     "op1_line_dedup": """
 with parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
@@ -183,4 +214,46 @@ least as (select node, min(low) as class_id from reach group by node),
 links as (select a, count(*) as n from edges group by a)
 select doc_id, class_id, coalesce(n, 0)::bigint as n_links, doc_id = class_id as kept
 from documents join least on node = doc_id left join links on a = doc_id""",
+    "op12_resample": f"""
+with {CRC_TABLE.strip()},
+docs as (select doc_id, {WORDS} as ws from documents),
+items as (select {WORDS} as ws from benchmark),
+vocabulary as (select w, {crc_sql('w')} % 10000 as k
+               from (select distinct unnest(ws) as w from docs union select distinct unnest(ws) from items), crc_table),
+have as (select k, count(*) as s from (select unnest(ws) as w from docs) join vocabulary using (w) group by k),
+want as (select k, count(*) as t from (select unnest(ws) as w from items) join vocabulary using (w) group by k),
+totals as (select (select coalesce(sum(s), 0) from have)::double as S_, (select coalesce(sum(t), 0) from want)::double as T_),
+gains as (select k, floor(1000 * ln((coalesce(t, 0)::double + 1) * (S_ + 10000) / ((s::double + 1) * (T_ + 10000)))) as gain
+          from have left join want using (k), totals),
+weighed as (select doc_id, sum(gain)::bigint as total, count(*) as n
+            from (select doc_id, unnest(ws) as w from docs) join vocabulary using (w) join gains using (k) group by doc_id),
+scored as (select doc_id, len(ws)::bigint as n_features,
+                  -- floor division of whole numbers, downwards
+                  coalesce((total - ((total % n + n) % n)) // n, 0)::bigint as weight, ('0x' || left(sha256('2024:' || doc_id), 8))::bigint as h
+           from docs left join weighed using (doc_id)),
+noisy as (select doc_id, n_features, weight, (weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))))::bigint as score from scored),
+placed as (select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place,
+                  count(*) filter (where n_features >= 20) over () as able from noisy)
+select doc_id, n_features, weight, score, case when n_features >= 20 and place <= 10 * able // 100 then place end as rank from placed""",
+    "op13_prefix_trie": rf"""
+with {CRC_TABLE.strip()},
+said as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+named as (select conv_id, turn, md5(length(role) || ':' || role || text) as id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::bigint as w from said),
+own as (select conv_id, list({{'id': id, 'w': w}} order by turn nulls first, id) as ts from named group by conv_id),
+heads as (select own.*, ({crc_sql('conv_id::varchar')} % 4)::int as h from own, crc_table),
+rebuilt as (select c.conv_id, case when b.ts is null then [] else b.ts[1:h] end || c.ts[h + 1:] as ts
+            from heads c left join own b on b.conv_id = c.conv_id - c.conv_id % 20),
+paths as (select conv_id, d, array_to_string(list_transform(ts[1:d], lambda x: x.id), '') as p,
+                 case when d > 0 then array_to_string(list_transform(ts[1:d - 1], lambda x: x.id), '') end as above,
+                 case when d > 0 then ts[d].w else 0 end as w, d = len(ts) as ending
+          from (select *, unnest(range(len(ts) + 1)) as d from rebuilt)),
+nodes as (select d, p, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs, any_value(w) as w,
+                 sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ending), '')) as ends_sha256
+          from paths group by d, p),
+families as (select above as p, count(*) as n_children from nodes where d > 0 group by above),
+below as (select paths.d, paths.p, count(*) filter (where n_children is null) as n_leaves, sum((n.n_convs - 1) * n.w)::bigint as saved_tokens
+          from nodes n left join families on families.p = n.p join paths on paths.conv_id = n.conv_id and paths.d <= n.d
+          group by paths.d, paths.p)
+select n.conv_id, n.d::bigint as depth, parent.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0)::bigint as n_children, n_leaves, saved_tokens, n.ends_sha256
+from nodes n join below using (d, p) left join families on families.p = n.p left join nodes parent on parent.d = n.d - 1 and parent.p = n.above""",
 }
