@@ -36,6 +36,7 @@ from cairn.functions.numbers import (
 from cairn.functions.text import (
     clean_string,
     join_text,
+    json_fields_guarded,
     json_text,
     json_text_guarded,
     marker_count,
@@ -59,6 +60,7 @@ __all__ = [
     "id_to_string",
     "is_set",
     "join_text",
+    "json_fields_guarded",
     "json_text",
     "json_text_guarded",
     "label_map",

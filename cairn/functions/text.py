@@ -73,6 +73,18 @@ def json_text_guarded(c: Column | str, path: str) -> Column:
     return F.when(whole.isNotNull(), inner)
 
 
+def json_fields_guarded(c: Column | str, *names: str) -> dict[str, Column]:
+    """Texts of top-level fields, NULL for all of any malformed document, from one parse.
+
+    The same values as :func:`json_text_guarded`, except that of a repeated field the last counts. The document is read as the only
+    element of an array inside an object, which text behind it of any kind breaks.
+    """
+    c = as_column(c, "json_fields_guarded")
+    fields = ", ".join(f"`{n}` string" for n in names)
+    whole = F.from_json(F.concat(F.lit('{"d":['), c, F.lit("]}")), f"d array<struct<{fields.replace('` ', '`: ')}>>")["d"]
+    return {n: F.when(F.size(whole) == 1, F.get(whole, F.lit(0))[n]) for n in names}
+
+
 def marker_count(c: Column | str, marker: str) -> Column:
     """How often a marker occurs in a text; NULL stays NULL."""
     if not marker:

@@ -14,6 +14,10 @@ ELIGIBLE, ACCEPTED = 0.5, 0.99
 FAN_OUT = 1.05
 # combinations counted in one job; all are tried, in as many jobs as that takes
 BATCH = 16
+# sketches merged in one scan, their size (2^k registers), and how far the true count can lie above an estimate: five
+# standard errors of 1.04 / sqrt(registers)
+SKETCHES, REGISTERS_LOG2 = 100, 14
+MARGIN = 5 * 1.04 / 2 ** (REGISTERS_LOG2 / 2)
 
 Combo = tuple[str, ...]
 
@@ -65,6 +69,48 @@ def candidate_keys(df: DataFrame, elig: float = ELIGIBLE, cand: float = ACCEPTED
         "key_columns string, key_size int, uniqueness_ratio double")
 
 
+def _upper_bounds(df: DataFrame, combos: Sequence[Combo]) -> tuple[int, dict[Combo, float]]:
+    """Row count and an upper bound of each combination's distinct count, from sketches that merge in one scan."""
+    total, bounds = 0, {}
+    for batch in batched(combos, SKETCHES):
+        def key(combo: Combo) -> Column:
+            known = F.forall(F.array(*[F.col(c).isNotNull() for c in combo]), lambda x: x)
+            return F.when(known, F.xxhash64(*combo))
+
+        row = df.agg(F.count("*"), *[
+            F.hll_sketch_estimate(F.hll_sketch_agg(key(combo), F.lit(REGISTERS_LOG2))) for combo in batch]).first()
+        total = row[0]
+        bounds |= {combo: (n or 0) * (1 + MARGIN) for combo, n in zip(batch, row[1:])}
+    return total, bounds
+
+
+def accepted_keys(df: DataFrame, elig: float = ELIGIBLE, cand: float = ACCEPTED, columns: Sequence[str] | None = None,
+                  counted: dict[int, tuple[int, int]] | None = None) -> DataFrame:
+    """The rows of :func:`candidate_keys` from ``cand`` up, without counting what cannot reach it.
+
+    Each size costs one scan for sketches of all combinations; only combinations whose upper bound reaches the share are
+    counted exactly. ``counted`` is filled with (tried, counted exactly) per size.
+    """
+    def shares(combos: Sequence[Combo], least: float) -> dict[Combo, float]:
+        total, bounds = _upper_bounds(df, combos)
+        near = [c for c in combos if total and bounds[c] >= least * total]
+        if counted is not None:
+            counted[len(combos[0])] = (len(combos), len(near))
+        exact = _distinct_counts(df, near)[1] if near else {}
+        return {c: n / total for c, n in exact.items() if n / total >= least}
+
+    singles = shares([(c,) for c in (columns or df.columns)], elig)
+    found = {c: r for c, r in singles.items() if r >= cand}
+    for size in (2, 3):
+        combos = list(combinations([c for c, in singles], size))
+        if not combos or found:
+            break
+        found = shares(combos, cand)
+    return df.sparkSession.createDataFrame(
+        [(", ".join(c), len(c), r) for c, r in sorted(found.items(), key=lambda e: (-e[1], e[0]))],
+        "key_columns string, key_size int, uniqueness_ratio double")
+
+
 def key_coverage(candidates: DataFrame, declared: DataFrame) -> DataFrame:
     """Which checks a candidate key still needs.
 

@@ -37,36 +37,77 @@ def holds(c: Column | str, kind: str) -> Column:
     return c.contains(NEEDED[kind]) & match if kind in NEEDED else match
 
 
+def luhn(digits: Column) -> Column:
+    """Does a text of digits pass the checksum of card numbers? An aggregate over its digits from the right."""
+    places = F.transform(F.split(F.reverse(digits), ""), lambda d, i: F.when(i % 2 == 0, d.cast("int")).otherwise(
+        F.when(d.cast("int") > 4, d.cast("int") * 2 - 9).otherwise(d.cast("int") * 2)))
+    return F.aggregate(places, F.lit(0), lambda n, d: n + d) % 10 == 0
+
+
+# What a match of a pattern must satisfy beyond its form: checksum, ranges of the parts, numbers never issued.
+CHECKS = {
+    "CREDIT_CARD": lambda m: luhn(F.regexp_replace(m, "[ -]", "")),
+    "IP_ADDRESS": lambda m: F.forall(F.split(m, "[.]"), lambda part: part.cast("int") <= 255),
+    "US_SSN": lambda m: ~(F.substring(m, 1, 3).isin("000", "666") | m.startswith("9") | (F.substring(m, 5, 2) == "00") | m.endswith("-0000")),
+}
+
+
+def matches(c: Column | str, kind: str) -> Column:
+    """All texts in ``c`` that have the form of a kind, in order."""
+    return F.regexp_extract_all(c, F.lit(PII_PATTERNS[kind]), F.lit(0))
+
+
+def holds_valid(c: Column | str, kind: str) -> Column:
+    """As :func:`holds`, for items that also pass the check of their kind; only texts with the form are taken apart."""
+    if kind not in CHECKS:
+        return holds(c, kind)
+    return F.when(holds(c, kind), F.exists(matches(c, kind), CHECKS[kind])).otherwise(F.when(holds(c, kind).isNotNull(), F.lit(False)))
+
+
 def pii_by_name(columns: DataFrame, name: str = "column_name") -> DataFrame:
     """Rows whose column name contains a marked fragment, in any case."""
     lower = F.lower(name)
     return columns.where(reduce(Column.__or__, [lower.contains(p) for p in PII_NAMES]))
 
 
-def pii_by_value(df: DataFrame, threshold: int = 1) -> DataFrame:
+def pii_by_value(df: DataFrame, threshold: int = 1, validated: bool = False) -> DataFrame:
     """Text columns with at least ``threshold`` rows that contain personal data.
 
-    Every row of every text column is looked at, in one aggregate.
+    Every row of every text column is looked at, in one aggregate. With ``validated`` an item has to pass the check of
+    its kind too (``CHECKS``), so that order numbers are not cards and version numbers not addresses.
     """
+    test = holds_valid if validated else holds
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     stats = {
-        kind: ("bigint", lambda c, k=kind: F.count_if(holds(c, k))) for kind in PII_PATTERNS}
+        kind: ("bigint", lambda c, k=kind: F.count_if(test(c, k))) for kind in PII_PATTERNS}
     found = wide_stats(df, text, stats)
     return found.where(F.greatest(*PII_PATTERNS) >= threshold)
 
 
-def redact(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+def _masked(c: str, kind: str, validated: bool) -> Column:
+    """The text with its items of a kind replaced; of a validated kind only those that pass the check."""
+    tag = F.lit(f"[REDACTED:{kind}]")
+    if not validated or kind not in CHECKS:
+        return F.regexp_replace(c, F.lit(PII_PATTERNS[kind]), tag)
+    # the text between the items, each followed by its item
+    between = F.split(c, PII_PATTERNS[kind], -1)
+    shown = F.transform(matches(c, kind), lambda m: F.when(CHECKS[kind](m), tag).otherwise(m))
+    return F.array_join(F.zip_with(between, shown, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
+def redact(df: DataFrame, columns: Iterable[str], validated: bool = False) -> DataFrame:
     """Frame with the named columns masked.
 
     Each recognised item becomes ``[REDACTED:KIND]``; a value without one becomes
-    ``[REDACTED]``. NULL stays NULL and unknown columns are ignored.
+    ``[REDACTED]``. NULL stays NULL and unknown columns are ignored. With ``validated`` items that
+    fail the check of their kind are left as they are.
     """
     masked = [c for c in dict.fromkeys(columns) if c in df.columns]
     out = df.withColumns({f"__m_{c}": F.col(c).cast("string") for c in masked}) if masked else df
-    for kind, pattern in PII_PATTERNS.items():
+    for kind in PII_PATTERNS:
         # one step per kind, so each text is rewritten only when it holds the kind
         out = out.withColumns({
-            f"__m_{c}": F.when(holds(f"__m_{c}", kind), F.regexp_replace(f"__m_{c}", pattern, f"[REDACTED:{kind}]"))
+            f"__m_{c}": F.when(holds(f"__m_{c}", kind), _masked(f"__m_{c}", kind, validated))
             .otherwise(F.col(f"__m_{c}")) for c in masked}) if masked else out
     return out.select(*[
         F.when(F.col(f"__m_{c}") == F.col(c).cast("string"), REDACTED).otherwise(F.col(f"__m_{c}")).alias(c)

@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import json_text, json_text_guarded, source_tag, staleness_days
+from cairn.functions import json_fields_guarded, json_text, source_tag, staleness_days
 from cairn.operators.dedup import latest_per_key
 from cairn.operators.projection import StagingSpec
 
 SYSTEM = "vistareserve"
 
+def _booking(*names: str) -> dict[str, Column]:
+    fields = json_fields_guarded("booking_metadata", *names)
+    return fields | {"number_of_guests": fields["number_of_guests"].cast("int")}
+
+
 # Source columns with their types, and the names the outputs carry.
 MODELS = {
     "asset_crosswalks": StagingSpec(
@@ -49,11 +54,7 @@ MODELS = {
          "status": "string", "total_amount": "decimal(10,2)", "arrival_date": "date",
          "booking_date": "timestamp_ntz", "departure_date": "date"},
         {"status": "reservation_status", "booking_date": "reservation_created_at"},
-        lambda: {
-            "booking_source": json_text_guarded("booking_metadata", "$.booking_source"),
-            "promo_code": json_text_guarded("booking_metadata", "$.promo_code"),
-            "number_of_guests":
-                json_text_guarded("booking_metadata", "$.number_of_guests").cast("int")}),
+        lambda: _booking("booking_source", "promo_code", "number_of_guests")),
     "revenue_batch": StagingSpec(
         SYSTEM, "revenue_batch", "hk_revenue_batch", "batch_id",
         {"batch_id": "string", "park_id": "int", "revenue_category": "string",

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from cairn_queries.registry import REGISTRY, Query
 
-MODULES = ("models", "expressions", "relational", "sources", "quality", "profiling", "catalog")
+MODULES = ("models", "expressions", "relational", "sources", "quality", "profiling", "catalog", "derived")
 
 
 def all_queries() -> dict[str, Query]:

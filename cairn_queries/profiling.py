@@ -50,11 +50,17 @@ def _(t: Tables) -> DataFrame:
     return profile.quick_profile(orders(t), ORDERS)
 
 
+# every column of the work orders; the one money column that is a double as cents, averages of texts to four decimals
+WORK_ORDERS = ("wo_id", "asset_tag", "park_id", "primary_assignee", "wo_type", "status", "labor_hours", "material_cost", "total_cost", "reported_date", "completed_date")
+
+
 @query("quick_profile_dirty", "L1,L2", f"""
-    with src as ({raw_sql('infratrak.work_orders')}), p as ({profile_sql(('park_id', 'wo_type', 'reported_date'), 'src', ('park_id', 'wo_type'))})
-    select *, round(null_count / total_count, 4) as null_rate, round(distinct_count / total_count, 4) as uniqueness_ratio from p""")
+    with src as (select * replace (cast(round(total_cost * 100) as bigint) as total_cost) from ({raw_sql('infratrak.work_orders')})),
+    p as ({profile_sql(WORK_ORDERS, 'src', WORK_ORDERS[:-2])})
+    select * replace (round(avg_val, 4) as avg_val), round(null_count / total_count, 4) as null_rate, round(distinct_count / total_count, 4) as uniqueness_ratio from p""")
 def _(t: Tables) -> DataFrame:
-    return profile.profile_ratios(profile.quick_profile(t.raw("infratrak.work_orders"), ["park_id", "wo_type", "reported_date"]))
+    orders_ = t.raw("infratrak.work_orders").withColumn("total_cost", F.round(F.col("total_cost") * 100).cast("bigint"))
+    return profile.profile_ratios(profile.quick_profile(orders_)).withColumn("avg_val", F.round("avg_val", 4))
 
 
 @query("top_values_per_column", "G3,E11", f"""
@@ -137,12 +143,13 @@ def _(t: Tables) -> DataFrame:
     select * from (select 'text' as column_name, count(*) filter (where text = '') as empty_count,
         count(*) filter (where regexp_matches(text, '^\\s+|\\s+$')) as padded_count from d
         union all select 'padded', count(*) filter (where padded = ''), count(*) filter (where regexp_matches(padded, '^\\s+|\\s+$')) from d
-        union all select 'lang', count(*) filter (where lang = ''), count(*) filter (where regexp_matches(lang, '^\\s+|\\s+$')) from d)
-    where empty_count + padded_count > 0""".replace("from d", "from (select text, lang, case when doc_id % 3 = 0 then '' when doc_id % 3 = 1 then ' ' || text else text end as padded from documents)"))
+        union all select 'lang', count(*) filter (where lang = ''), count(*) filter (where regexp_matches(lang, '^\\s+|\\s+$')) from d
+        union all select 'source', count(*) filter (where source = ''), count(*) filter (where regexp_matches(source, '^\\s+|\\s+$')) from d)
+    where empty_count + padded_count > 0""".replace("from d", "from (select text, lang, source, case when doc_id % 3 = 0 then '' when doc_id % 3 = 1 then ' ' || text else text end as padded from documents)"))
 def _(t: Tables) -> DataFrame:
     r = F.col("doc_id") % 3
     padded = F.when(r == 0, "").when(r == 1, F.concat(F.lit(" "), "text")).otherwise(F.col("text"))
-    return profile.text_hygiene(t.documents.select("text", "lang", padded.alias("padded")))
+    return profile.text_hygiene(t.documents.select("text", "lang", "source", padded.alias("padded")))
 
 
 @query("date_bounds", "L9", """

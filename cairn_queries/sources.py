@@ -30,15 +30,38 @@ def _(t: Tables) -> DataFrame:
         join driver_lineitem on l_orderkey = o_orderkey""")
 
 
+SEED_SCHEMA = "p_partkey bigint, label string, price decimal(10,2)"
+
+
+def written_seed(t: Tables) -> str:
+    """A seed of all parts, with a row that does not fit after every fifth: a key or a price of the wrong type, or no price."""
+    path = fresh_folder(t)
+    quoted = F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"'))
+    key, price = F.col("p_partkey").cast("string"), F.col("p_retailprice").cast("decimal(10,2)").cast("string")
+    label = F.when(F.col("p_partkey") % 3 == 0, quoted).otherwise(F.col("p_name"))
+    line = lambda *fields: F.concat_ws(",", *fields)
+    in_quotes = F.concat(F.lit('"'), F.replace(label, F.lit('"'), F.lit('""')), F.lit('"'))
+    bad = F.when(F.col("p_partkey") % 15 == 0, line(F.lit("k"), in_quotes, price)).when(
+        F.col("p_partkey") % 15 == 5, line(key, in_quotes, F.lit("free"))).otherwise(line(key, in_quotes))
+    lines = F.when(F.col("p_partkey") % 5 == 0, F.array(line(key, in_quotes, price), bad)).otherwise(F.array(line(key, in_quotes, price)))
+    # every file with its header line
+    files = t.part.select(F.explode(lines).alias("value")).repartition(3)
+    head = files.groupBy(F.spark_partition_id().alias("file")).agg(F.lit("p_partkey,label,price").alias("value"))
+    placed = files.select(F.spark_partition_id().alias("file"), "value", F.lit(1).alias("at")).unionAll(head.select("file", "value", F.lit(0)))
+    placed.repartition(3, "file").sortWithinPartitions("file", "at").select("value", "file").write.partitionBy("file").text(path)
+    return path
+
+
 @query("seed_round_trip", "A2", """
     select p_partkey, if(p_partkey % 3 = 0, p_name || ', "' || p_brand || '"', p_name) as label, cast(p_retailprice as decimal(10,2)) as price from part""")
 def _(t: Tables) -> DataFrame:
-    path = fresh_folder(t)
-    quoted = F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"'))
-    seed = t.part.select("p_partkey", F.when(F.col("p_partkey") % 3 == 0, quoted).otherwise(F.col("p_name")).alias("label"),
-                         F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
-    seed.write.option("header", True).option("escape", '"').csv(path)
-    return sources.load_seed(t.spark, path, "p_partkey bigint, label string, price decimal(10,2)")
+    return sources.load_seed(t.spark, written_seed(t), SEED_SCHEMA)
+
+
+@query("seed_read_pruned", "A2", "select p_partkey from part")
+def _(t: Tables) -> DataFrame:
+    # rows are judged by all their fields, also when one is asked for
+    return sources.load_seed(t.spark, written_seed(t), SEED_SCHEMA).select("p_partkey")
 
 
 @query("catalog_folder", "A3", """
