@@ -1,7 +1,7 @@
 """Embedding near-dedup: random-hyperplane signs in several tables, exact cosines, distributed components.
 
 Equal vectors form a class, named by its smallest ``vec_id``; only class representatives are hashed. A table has ``bits``
-hyperplanes, as many as keep buckets near ``BUCKET_ROWS`` rows on average, and the number of tables follows from the chance
+hyperplanes, as many as keep buckets near ``BUCKET_ROWS`` rows on average (a billion vectors need under 300 tables), and the number of tables follows from the chance
 ``RECALL`` to meet in one of them at exactly the threshold. Rows of a bucket are compared exactly, in double precision, and
 give a spanning forest; components of the forests are then compared once as a whole, which counts every link inside.
 
@@ -24,7 +24,8 @@ from cairn.llm.graph import Forest, components, dealt_blocks, fixed_rows, whole_
 from cairn.llm.store import stored
 
 THRESHOLD, RECALL = 0.9, 0.99999
-BUCKET_ROWS, BLOCK_ROWS = 16, 2048
+#: rows of an average bucket; rows of a block of a bucket or, in parts of a group, at least and at most
+BUCKET_ROWS, BLOCK_ROWS, GROUP_ROWS = 512, 2048, 64
 SEED = 11
 
 
@@ -53,6 +54,7 @@ def hashed(vectors: DataFrame, bits: int, tables: int) -> DataFrame:
             for size in np.unique(lengths).tolist():
                 part = batch.filter(pa.array(lengths == size))
                 x = np.array(part.column(1).to_pylist(), np.float64)
+                x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])  # by a power of two: squares of tiny or huge components stay doubles
                 if size not in planes:
                     planes[size] = hyperplanes(size, bits, tables)
                 bit = ((x @ planes[size]) > 0).reshape(len(x), tables, bits)
@@ -79,7 +81,7 @@ def near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
     bits, tables = table_plan(distinct, threshold, recall)
     named = with_groups(known, classes, ["_h1", "_h2"], "_rows", total)
     heads = stored(hashed(named.where("vec_id = id").dropDuplicates(["id", "_h1", "_h2"]).select("id", "embedding"), bits, tables), "hashed")
-    members = heads.select(F.explode("buckets").alias("bucket"), "id")
+    members = heads.select(F.explode("buckets").alias("bucket"), "id", F.lit(1).alias("weight"))
     payload = heads.select("id", "vector")
 
     def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +115,8 @@ def near_dedup(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["id", "links"])
 
     weighted = payload.join(classes.select("id", "weight"), "id")
-    links = (dealt_blocks(found.select(F.col("component").alias("bucket"), "id"), weighted, block_rows)
+    groups = found.select(F.col("component").alias("bucket"), "id", F.lit(1).alias("weight"))
+    links = (dealt_blocks(groups, weighted, min(GROUP_ROWS, block_rows), block_rows)
              .mapInArrow(counts, "id bigint, links bigint").groupBy("id").agg(F.sum("links").alias("links")))
     per_class = classes.join(found, "id", "left").join(links, "id", "left").select(
         "_h1", "_h2", "_rows", F.coalesce("component", "id").alias("_component"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("_links"))

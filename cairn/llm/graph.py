@@ -1,6 +1,7 @@
 """Shared parts of the pair operators: buckets compared in bounded blocks, and distributed connected components.
 
-A bucket of many rows is cut into blocks of ``block_rows``; every pair of blocks is compared, so nothing is lost and no task
+Members of buckets are sorted over range partitions of (bucket, hash of id), so a hot bucket is cut by position and no key fills a
+task. Buckets too large for one block become several, and every pair of blocks is compared, so nothing is lost and no task
 holds more than two blocks. Tasks give a spanning forest of the links they find instead of all pairs.
 """
 
@@ -10,7 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.store import shuffle_slots, stored
@@ -34,17 +36,63 @@ def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     return dealt.join(each, [*keys, "_part"]).drop("_part")
 
 
-def dealt_blocks(members: DataFrame, payload: DataFrame, block_rows: int) -> DataFrame:
+#: a bucket is compared by at least the blocks in so many parts before its blocks grow beyond the least size
+SPREAD = 16
+
+
+def runs_in_place(members: DataFrame, least: int) -> DataFrame:
+    """``bucket, id, weight, part, at, wide``: members in sorted range partitions, without buckets of one row.
+
+    ``at`` is the weight before a row in its bucket's run in this partition. A bucket is ``wide`` if its run touches a border of
+    the partition (it may go on there) or weighs more than ``least``.
+    """
+    def runs(table: pa.Table, bounds: np.ndarray, starts: bool, ends: bool, part: int) -> pa.RecordBatch:
+        weight, rows = table.column("weight").to_numpy(), np.diff(bounds)
+        before = np.cumsum(weight) - weight
+        wide = np.add.reduceat(weight, bounds[:-1]) > least
+        wide[0] |= starts
+        wide[-1] |= ends
+        keep = pa.array(np.repeat((rows > 1) | wide, rows))
+        columns = [table.column("bucket"), table.column("id"), table.column("weight"), pa.array(np.full(table.num_rows, part)),
+                   pa.array(before - np.repeat(before[bounds[:-1]], rows)), pa.array(np.repeat(wide, rows))]
+        kept = pa.table(columns, ["bucket", "id", "weight", "part", "at", "wide"]).filter(keep).combine_chunks()
+        return kept.to_batches()[0] if kept.num_rows else pa.RecordBatch.from_pylist([], kept.schema)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, starts, waiting = TaskContext.get().partitionId(), True, None
+        for group in whole_groups(batches, ("bucket",)):
+            if waiting is not None:
+                yield runs(*waiting, starts, False, part)
+                starts = False
+            waiting = group
+        if waiting is not None:
+            yield runs(*waiting, starts, True, part)
+
+    order = ["bucket", "_h", "id"]
+    dealt = members.select("bucket", "id", F.col("weight").cast("long").alias("weight"), F.xxhash64("id").alias("_h"))
+    return (dealt.repartitionByRange(shuffle_slots(members), *order).sortWithinPartitions(*order).drop("_h")
+            .mapInArrow(placed, "bucket bigint, id bigint, weight bigint, part bigint, at bigint, wide boolean"))
+
+
+def dealt_blocks(members: DataFrame, payload: DataFrame, least: int, most: int | None = None) -> DataFrame:
     """``bucket, i, j, own, id`` and the payload columns, dealt and sorted by ``bucket, i, j``.
 
-    ``members`` has ``bucket`` and ``id``, ``payload`` has ``id`` and what is to be compared. Buckets of one row go.
+    ``members`` has ``bucket``, ``id`` and ``weight``, ``payload`` has ``id`` and what is to be compared. Buckets up to the weight
+    ``least`` are one block, larger ones up to ``SPREAD`` blocks, or more where a block would weigh over ``most`` (and one row).
     """
-    sizes = members.groupBy("bucket").count().where("count > 1")
-    blocks = F.ceil(F.col("count") / block_rows).cast("int")
-    placed = with_groups(members, sizes, ["bucket"], "count", members.count()).select(
-        "bucket", "id", blocks.alias("_blocks"), F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int").alias("own"))
+    placed = stored(runs_in_place(members, least), "placed")
+    lone = placed.where("not wide").select("bucket", "id", F.lit(0).alias("own"), F.lit(1).alias("_blocks"))
+    # only buckets at a border of a partition, at most two each, and those above a block
+    in_bucket = Window.partitionBy("bucket")
+    runs = placed.where("wide").groupBy("bucket", "part").agg(F.sum("weight").alias("_w"), F.count("*").alias("_n")).select(
+        "bucket", "part", (F.sum("_w").over(in_bucket.orderBy("part")) - F.col("_w")).alias("_before"),
+        F.sum("_w").over(in_bucket).alias("_total"), F.sum("_n").over(in_bucket).alias("_rows")).where("_rows > 1")
+    blocks = F.greatest(F.least(F.ceil(F.col("_total") / least), F.lit(SPREAD)), F.ceil(F.col("_total") / (most or least)))
+    own = F.floor((F.col("_before") + F.col("at")) * F.col("_blocks") / F.col("_total"))
+    wide = placed.where("wide").join(runs.withColumn("_blocks", blocks), ["bucket", "part"]).select(
+        "bucket", "id", own.cast("int").alias("own"), F.col("_blocks").cast("int").alias("_blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    pairs = placed.select("bucket", "id", "own", other.alias("_other")).select(
+    pairs = lone.unionByName(wide).select("bucket", "id", "own", other.alias("_other")).select(
         "bucket", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"), "own", "id")
     return (pairs.join(payload, "id").repartition(shuffle_slots(members), "bucket", "i", "j")
             .sortWithinPartitions("bucket", "i", "j", "id"))
@@ -98,10 +146,12 @@ class Forest:
         self.links: list[tuple[int, int]] = []
 
     def join(self, a: int, others: np.ndarray) -> None:
-        for b in others.tolist():
-            if self.label[a] != self.label[b]:
-                self.label[self.label == self.label[b]] = self.label[a]
-                self.links.append((a, b))
+        """Links ``a`` to one of ``others`` in every other tree that holds some of them."""
+        trees, first = np.unique(self.label[others], return_index=True)
+        apart = trees != self.label[a]
+        if apart.any():
+            self.links += [(a, int(others[k])) for k in first[apart]]
+            self.label[np.isin(self.label, trees)] = self.label[a]
 
 
 def components(edges: DataFrame) -> DataFrame:

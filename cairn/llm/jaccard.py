@@ -1,17 +1,19 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
-Documents are sets of hashed runs of ``SHINGLE`` words. Equal sets form a class, named by its smallest ``doc_id``. Class
-representatives meet in the buckets of ``BANDS`` bands of ``BAND_ROWS`` MinHash values. In a bucket two signatures are compared
-``STEP`` values at a time; after each step the pair is dropped when the posterior probability that its similarity reaches
-the threshold, given the matches so far and a uniform prior, is below ``TOLERANCE``. Pairs that survive connect candidate
-groups; inside those, all similarities are computed exactly from the whole sets, and links counted. Signatures hold
-8 bits a value, which the posterior allows for.
+Documents are sets of hashed runs of ``SHINGLE`` words. Rows with equal sets form a class; classes are numbered in the order of
+their first row by ``doc_id`` (then by hash of the text), and a class's first row stands for it. Representatives meet in the buckets
+of ``BANDS`` bands of ``BAND_ROWS`` MinHash values. In a bucket two signatures are compared ``STEP`` values at a time; from
+``FIRST_TEST`` values on the pair is dropped when the posterior probability that its similarity reaches the threshold, given
+the matches so far and a uniform prior, is below ``TOLERANCE``. Pairs that survive connect candidate groups; inside those, all
+similarities are computed exactly from the whole sets, and links counted, in pairs of blocks bounded by rows and by bytes.
+Signatures hold 8 bits a value, which the posterior allows for.
 
 A pair whose rows already hang together needs no comparison for the groups, so a bucket of copies costs one pass.
 
-Defined results: null, empty and wordless texts link with nothing; fewer than ``SHINGLE`` words are one run; a null
-``doc_id`` cannot be named, links with nothing and is kept; rows that repeat a ``doc_id`` share a node; an empty table gives
-no rows; extra columns are not read (``drop_near`` keeps them).
+Defined results: rows are judged one by one, also those that share a ``doc_id``: the class is named by the smallest ``doc_id`` in it, one
+row of it is kept, ``n_links`` counts other rows. Null, empty and wordless texts link with nothing and are kept; fewer than ``SHINGLE``
+words are one run; a null ``doc_id`` cannot be named, links with nothing and is kept; an empty table gives no rows; extra columns
+are not read (``drop_near`` keeps them; of rows with the same ``doc_id`` and text the one with the smallest hash stays).
 """
 
 from __future__ import annotations
@@ -20,19 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.embeddings import edge_batch
 from cairn.llm.graph import Forest, components, dealt_blocks, fixed_rows, whole_groups, with_groups
-from cairn.llm.names import free_names
-from cairn.llm.store import stored
+from cairn.llm.names import free_names, quoted
+from cairn.llm.store import shuffle_slots, stored
 from cairn.llm.words import hashed_words, mix, text_slices, window_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, BAND_ROWS, VALUES, STEP = 24, 5, 128, 16
-TOLERANCE = 1e-4
-BUCKET_BLOCK, GROUP_BLOCK = 16_384, 512
+TOLERANCE, FIRST_TEST = 1e-6, 32
+#: rows of a bucket in one block; bytes of sets in a block of a group, at most (and one set), and at least 1 / GROUP_BLOCK of that a row
+BUCKET_BLOCK = 16_384
+GROUP_BYTES, GROUP_BLOCK = 16_000_000, 512
 CHUNK = 4096
 
 
@@ -63,23 +67,30 @@ def least_matches(threshold: float, tolerance: float = TOLERANCE) -> np.ndarray:
         log = m * np.log(match) + (n - m) * np.log1p(-match)
         weight = np.exp(log - log.max(1, keepdims=True))
         posterior = weight[:, s >= threshold].sum(1) / weight.sum(1)
-        out.append(int(np.argmax(posterior >= tolerance)))
+        out.append(int(np.argmax(posterior >= tolerance)) if n >= FIRST_TEST else 0)
     return np.array(out)
 
 
+def text_keys(text: str = "text") -> tuple[Column, Column]:
+    """Two hashes that tell the texts of one ``doc_id`` apart."""
+    return F.xxhash64(text), F.xxhash64(F.lit(7), text)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id, h1, h2`` (hash of the set), ``buckets`` (one per band), ``signature``; wordless texts have null hashes."""
+    """``doc_id, t1, t2`` (the text's keys), ``h1, h2`` (hash of the set), ``bytes`` of the set, ``buckets`` (one per band), ``signature``;
+    wordless texts have null hashes."""
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factor, shift = permutations()
         for batch in batches:
-            h1, h2, buckets, signatures = [], [], [], []
+            h1, h2, sizes, buckets, signatures = [], [], [], [], []
             for runs in shingle_sets(batch.column(1)):
                 if not len(runs):
-                    for column in (h1, h2, buckets, signatures):
+                    for column in (h1, h2, sizes, buckets, signatures):
                         column.append(None)
                     continue
                 h1.append(int(np.add.reduce(mix(runs)).view(np.int64)))
                 h2.append(int(np.bitwise_xor.reduce(mix(runs + np.uint64(0x51ED270B))).view(np.int64)))
+                sizes.append(runs.nbytes)
                 least = np.full(VALUES, 2**64 - 1, np.uint64)
                 for at in range(0, len(runs), CHUNK):
                     part = runs[at: at + CHUNK, None] * factor + shift
@@ -89,11 +100,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 buckets.append(mix(bands).view(np.int64))
                 signatures.append(mix(least).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(buckets, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
-                ["doc_id", "h1", "h2", "buckets", "signature"])
+                [batch.column(0), batch.column(2), batch.column(3), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array(buckets, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
+                ["doc_id", "t1", "t2", "h1", "h2", "bytes", "buckets", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        sketched, "doc_id bigint, h1 bigint, h2 bigint, buckets array<bigint>, signature binary")
+    t1, t2 = text_keys()
+    return docs.select(F.col("doc_id").cast("long"), "text", t1.alias("t1"), t2.alias("t2")).mapInArrow(
+        sketched, "doc_id bigint, t1 bigint, t2 bigint, h1 bigint, h2 bigint, bytes bigint, buckets array<bigint>, signature binary")
 
 
 def candidate_links(members: DataFrame, payload: DataFrame, threshold: float) -> DataFrame:
@@ -156,7 +169,7 @@ def set_links(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     return both >= threshold * either - 1e-6
 
 
-def verified(groups: DataFrame, docs: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
+def verified(groups: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """``a, b, links`` inside candidate groups: links of ``a`` (b null), and the forest of exact links (links null)."""
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,38 +193,65 @@ def verified(groups: DataFrame, docs: DataFrame, weights: DataFrame, threshold:
                 links += total.tolist() + [None] * len(forest.links)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a_side, b_side, links)], ["a", "b", "links"])
 
-    wanted = groups.join(weights, "id")
-    texts = docs.select("doc_id", "text").join(wanted.select("id", "weight").hint("shuffle_hash"), F.col("doc_id") == F.col("id")).select("id", "text", "weight")
-    payload = texts.mapInArrow(sets_of, "id bigint, runs binary, weight bigint")
-    members = groups.select(F.col("component").alias("bucket"), "id")
-    return dealt_blocks(members, payload, GROUP_BLOCK).mapInArrow(compared, "a bigint, b bigint, links bigint")
-
-
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, class_id, n_links, kept`` per row: the smallest linked ``doc_id``, and how many other rows link directly."""
-    rows = stored(sketches(docs), "sketches")
+    wanted = groups.join(nodes.select("id", "doc_id", "t1", "t2", "weight"), "id")
+    t1, t2 = text_keys()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), t1.alias("t1"), t2.alias("t2"), "text").join(
+        wanted.select("id", "doc_id", "t1", "t2", "weight").hint("shuffle_hash"), ["doc_id", "t1", "t2"]).select("id", "text", "weight")
+    # equal rows of one doc_id bring the same set
+    payload = texts.mapInArrow(sets_of, "id bigint, runs binary, weight bigint").groupBy("id").agg(
+        F.first("runs").alias("runs"), F.first("weight").alias("weight"))
+    members = groups.join(nodes.select("id", "bytes"), "id").select(
+        F.col("component").alias("bucket"), "id", F.greatest("bytes", F.lit(GROUP_BYTES // GROUP_BLOCK)).alias("weight"))
+    return dealt_blocks(members, payload, GROUP_BYTES // 4, GROUP_BYTES).mapInArrow(compared, "a bigint, b bigint, links bigint")
+
+
+def judged_rows(docs: DataFrame, threshold: float) -> DataFrame:
+    """``doc_id, t1, t2, class_id, n_links, kept`` per row."""
+    rows = stored(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")
     named = rows.where("doc_id is not null and h1 is not null")
-    classes = stored(named.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.count("*").alias("weight")), "classes")
-    heads = named.join(classes.withColumnRenamed("id", "doc_id"), ["h1", "h2", "doc_id"]).dropDuplicates(["h1", "h2", "doc_id"])
-    heads = stored(heads.select(F.col("doc_id").alias("id"), "buckets", "signature"), "heads")
-    members = heads.select(F.explode("buckets").alias("bucket"), "id")
+    first = ["doc_id", "t1", "t2", "row"]
+    classes = named.groupBy("h1", "h2").agg(F.min(F.struct(*first)).alias("_first"), F.count("*").alias("weight")).select(
+        "h1", "h2", "weight", *(F.col(f"_first.{c}").alias(c) for c in first))
+    # numbers in the order of the first rows, so the smallest number of a component has its smallest doc_id
+    numbered = classes.repartitionByRange(shuffle_slots(docs), *first).sortWithinPartitions(*first).withColumn("id", F.monotonically_increasing_id())
+    classes = stored(numbered, "classes")
+    heads = stored(named.select("row", "buckets", "signature", "bytes").join(classes.select("row", "id"), "row").drop("row"), "heads")
+    members = heads.select(F.explode("buckets").alias("bucket"), "id", F.lit(1).alias("weight"))
     groups = stored(components(candidate_links(members, heads.select("id", "signature"), threshold)), "groups")
-    exact = stored(verified(groups, docs, classes.select("id", "weight"), threshold), "links")
+    exact = stored(verified(groups, docs, classes.join(heads.select("id", "bytes"), "id"), threshold), "links")
     found = components(exact.where("b is not null").select("a", "b"))
     links = exact.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
-    per_class = classes.join(found, "id", "left").join(links, "id", "left").select(
-        "h1", "h2", "weight", F.coalesce("component", "id").alias("_class"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("_links"))
-    judged = with_groups(named.select("doc_id", "h1", "h2"), per_class, ["h1", "h2"], "weight", rows.count()).select("doc_id", "_class", "_links")
-    rest = rows.where("doc_id is null or h1 is null").select("doc_id", F.col("doc_id").alias("_class"), F.lit(0).cast("long").alias("_links"))
-    return judged.unionByName(rest).select(
-        "doc_id", F.col("_class").alias("class_id"), F.col("_links").alias("n_links"),
-        F.coalesce(F.col("doc_id") == F.col("_class"), F.lit(True)).alias("kept"))
+    heads_of = classes.select(F.col("id").alias("component"), F.col("doc_id").alias("_class"), F.col("row").alias("_kept"))
+    per_class = classes.select("id", "h1", "h2", "weight").join(found, "id", "left").join(links, "id", "left").withColumn(
+        "component", F.coalesce("component", "id")).join(heads_of, "component").select(
+        "h1", "h2", "weight", "_class", "_kept", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("_links"))
+    judged = with_groups(named.select(*first, "h1", "h2"), stored(per_class, "judged"), ["h1", "h2"], "weight", rows.count()).select(
+        "doc_id", "t1", "t2", "_class", "_links", (F.col("row") == F.col("_kept")).alias("kept"))
+    rest = rows.where("doc_id is null or h1 is null").select(
+        "doc_id", "t1", "t2", F.col("doc_id").alias("_class"), F.lit(0).cast("long").alias("_links"), F.lit(True).alias("kept"))
+    return judged.unionByName(rest).select("doc_id", "t1", "t2", F.col("_class").alias("class_id"), F.col("_links").alias("n_links"), "kept")
 
 
-def drop_near(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class: the one with the smallest ``doc_id``, once."""
-    name, = free_names(docs, "_away")
-    away = near_duplicates(docs, threshold).where("not kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(away.hint("shuffle_hash"), F.col("doc_id") == F.col(name), "left_anti")
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, class_id, n_links, kept`` per row: the smallest linked ``doc_id``, and how many other rows link directly."""
+    return judged_rows(docs, threshold).select("doc_id", "class_id", "n_links", "kept")
 
 
+def drop_near(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with one row of each class: one with the smallest ``doc_id``."""
+    # texts of which some row goes; wordless rows are all kept, repeated or not
+    marks = stored(judged_rows(docs, threshold).where("doc_id is not null").groupBy("doc_id", "t1", "t2").agg(
+        F.max("kept").alias("_stays"), F.min("kept").alias("_all")).where("not _all"), "marks")
+    doc, t1, t2, stays, row = free_names(docs, "_doc", "_t1", "_t2", "_stays", "_row")
+    keys = marks.select(*(F.col(c).alias(name) for c, name in zip(marks.columns, (doc, t1, t2, stays))))
+    values = (F.col("doc_id").cast("long"), *text_keys())
+    on = [F.col(name) == value for name, value in zip((doc, t1, t2), values)]
+    kept = docs.where("doc_id is not null").join(keys.hint("shuffle_hash"), on, "left_anti").unionByName(docs.where("doc_id is null"))
+    again = keys.where(stays)
+    if again.isEmpty():
+        return kept
+    # first rows of a class that occur several times: one of each, combined before the shuffle
+    whole = F.struct(*(F.col(quoted(c)) for c in docs.columns))
+    one = docs.join(again, on, "left_semi").groupBy(*values).agg(
+        F.min_by(whole, F.xxhash64(*(quoted(c) for c in docs.columns))).alias(row))
+    return kept.unionByName(one.select(*(F.col(f"{row}.{quoted(c)}") for c in docs.columns)))
