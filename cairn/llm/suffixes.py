@@ -64,7 +64,7 @@ def sparse_suffixes(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(h1.view("i8")), pa.array(h2.view("i8")), pa.array(doc.astype("i8")), pa.array(place.astype("i4"))],
                                              ["h1", "h2", "doc_id", "place"])
 
-    return docs.where("doc_id is not null and length(text) >= 100").select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.where(f"doc_id is not null and length(text) >= {2 * MIN_WORDS - 1}").select(F.col("doc_id").cast("long"), "text").mapInArrow(
         suffixes, "h1 bigint, h2 bigint, doc_id bigint, place int")
 
 
