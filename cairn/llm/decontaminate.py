@@ -5,31 +5,36 @@ of every item; a document's words stream through it and its state gives the long
 each word. Where that run has ``window`` words, the words of the run are hit; an item of fewer words is a window of its
 own. Spans that are long enough can be removed, and documents whose hit share is too large dropped.
 
-Items go into automata of at most ``BLOCK_WORDS`` words, each built on the driver from items read in blocks; that bound
-is what a broadcast automaton can hold. Further blocks mark the same rows in further passes of one chain, so any number of
-items is covered.
+Items are cut into parts of ``PART_WORDS`` words that overlap by a window less one word, and dealt into blocks of about ``BLOCK_WORDS``
+words. Tasks build one automaton per block and write it, as flat arrays, to a table in the shared folder; nothing is built on the
+driver, which hands one block at a time from that table to a broadcast. One pass over the documents streams each batch through up
+to ``PASS_BLOCKS`` automata, of which a task holds ``HELD_BLOCKS`` at once; only a benchmark of more blocks takes another pass, over
+stored rows. So no step holds more than a fixed number of blocks, whatever the size of the benchmark.
 
 Defined results: null text and null items have no words; a null ``item_id`` is hit like others and counts as an item named
-by an empty string; items with the same words are all reported; rows that repeat a ``doc_id`` are judged one by one; an
+by an empty string; items with the same words are all reported, rows that repeat an ``item_id`` once; rows that repeat a ``doc_id`` are judged one by one; an
 empty benchmark hits nothing; extra columns pass through.
 """
 
 from __future__ import annotations
 
 import pickle
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.names import ddl, free_names
+from cairn.llm.store import shuffle_slots, stored
 from cairn.llm.words import byte_table
 
 WINDOW = 10
-BLOCK_WORDS = 500_000
+PART_WORDS, BLOCK_WORDS = 50_000, 200_000
+PASS_BLOCKS, HELD_BLOCKS = 64, 2
 MARKS = ("_words", "_spans", "_items")
 
 
@@ -37,8 +42,41 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(byte_table()).split()
 
 
-class ItemAutomaton:
-    """Suffix automaton over word numbers; ``window`` gives what counts as a hit."""
+class Marker:
+    """Streams documents through an automaton; subclasses say how its states are kept."""
+
+    def mark(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+        """(spans of hit words, items with an occurring window) of a document."""
+        get = self.vocabulary.get
+        known = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], (known >= 0).view(np.int8), [0]))))
+        spans: list[tuple[int, int]] = []
+        items: set[int] = set()
+        for start, end in edges.reshape(-1, 2)[np.diff(edges)[::2] >= self.least] if len(edges) else ():
+            state = matched = 0
+            for at, word in enumerate(known[start:end].tolist(), int(start) + 1):
+                state, matched = self.step(state, matched, word)
+                reach = 0
+                if matched >= self.window:
+                    reach = matched
+                    items.update(self.items_at(state))
+                if self.near_short[state]:
+                    up = state
+                    while up > 0:
+                        for n, item in self.short_at(up):
+                            if n <= matched:
+                                items.add(item)
+                                reach = max(reach, n)
+                        up = self.link[up]
+                if reach:
+                    while spans and spans[-1][1] >= at - reach:
+                        reach = max(reach, at - spans.pop()[0])
+                    spans.append((at - reach, at))
+        return spans, items
+
+
+class ItemAutomaton(Marker):
+    """Suffix automaton over word numbers while it is built; ``window`` gives what counts as a hit."""
 
     def __init__(self, window: int):
         self.window = window
@@ -115,49 +153,108 @@ class ItemAutomaton:
             state = self.link[state]
         return state
 
-    def mark(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
-        """(spans of hit words, items with an occurring window) of a document."""
-        get = self.vocabulary.get
-        known = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], (known >= 0).view(np.int8), [0]))))
-        spans: list[tuple[int, int]] = []
-        items: set[int] = set()
-        for start, end in edges.reshape(-1, 2)[np.diff(edges)[::2] >= self.least] if len(edges) else ():
-            state = matched = 0
-            for at, word in enumerate(known[start:end].tolist(), int(start) + 1):
-                state, matched = self.step(state, matched, word)
-                reach = 0
-                if matched >= self.window:
-                    reach = matched
-                    items |= self.items[self.window_state(state)]
-                if self.near_short[state]:
-                    up = state
-                    while up > 0:
-                        for n, item in self.short.get(up, ()):
-                            if n <= matched:
-                                items.add(item)
-                                reach = max(reach, n)
-                        up = self.link[up]
-                if reach:
-                    while spans and spans[-1][1] >= at - reach:
-                        reach = max(reach, at - spans.pop()[0])
-                    spans.append((at - reach, at))
-        return spans, items
+    def items_at(self, state: int) -> set[int]:
+        return self.items[self.window_state(state)]
+
+    def short_at(self, state: int) -> list[tuple[int, int]]:
+        return self.short.get(state, [])
+
+    def packed(self) -> bytes:
+        """The finished automaton as flat arrays: moves by (state, word), items and short items by state."""
+        def grouped(table: dict) -> tuple[np.ndarray, np.ndarray, list]:
+            states = sorted(table)
+            return np.array(states, np.int64), np.cumsum([0, *(len(table[s]) for s in states)]), [x for s in states for x in sorted(table[s])]
+
+        words = max(len(self.vocabulary), 1)
+        moves = sorted((state * words + word, target) for state, to in enumerate(self.next) for word, target in to.items())
+        return pickle.dumps({
+            "window": self.window, "least": self.least, "names": self.names, "words": list(self.vocabulary),
+            "keys": np.array([m[0] for m in moves], np.int64), "targets": np.array([m[1] for m in moves], np.int32),
+            "link": np.array(self.link, np.int32), "length": np.array(self.length, np.int32), "near_short": np.array(self.near_short, bool),
+            "items": grouped(self.items), "short": grouped(self.short)})
+
+
+class PackedAutomaton(Marker):
+    """An automaton read back from its flat arrays; a move is a binary search."""
+
+    def __init__(self, packed: bytes):
+        kept = pickle.loads(packed)
+        self.window, self.least, self.names = kept["window"], kept["least"], kept["names"]
+        self.vocabulary = {w: i for i, w in enumerate(kept["words"])}
+        self.width = max(len(self.vocabulary), 1)
+        self.keys = array("q", kept["keys"].tobytes())
+        self.targets, self.link, self.length = (array("i", kept[k].tobytes()) for k in ("targets", "link", "length"))
+        self.near_short = kept["near_short"].tobytes()
+        self.items, self.short = kept["items"], kept["short"]
+
+    def move(self, state: int, word: int) -> int:
+        key = state * self.width + word
+        at = bisect_left(self.keys, key)
+        return self.targets[at] if at < len(self.keys) and self.keys[at] == key else -1
+
+    def step(self, state: int, matched: int, word: int) -> tuple[int, int]:
+        while (target := self.move(state, word)) < 0 and state:
+            state = self.link[state]
+            matched = self.length[state]
+        return (target, matched + 1) if target >= 0 else (0, 0)
+
+    def items_at(self, state: int) -> list[int]:
+        while self.length[self.link[state]] >= self.window:
+            state = self.link[state]
+        return self.listed(self.items, state)
 
+    def short_at(self, state: int) -> list[tuple[int, int]]:
+        return self.listed(self.short, state)
+
+    @staticmethod
+    def listed(table: tuple[np.ndarray, np.ndarray, list], state: int) -> list:
+        states, cuts, values = table
+        at = int(np.searchsorted(states, state))
+        return values[cuts[at]: cuts[at + 1]] if at < len(states) and states[at] == state else []
+
+
+def item_parts(benchmark: DataFrame, window: int, part_words: int = PART_WORDS) -> DataFrame:
+    """``name, words, n``: the items in parts of at most ``part_words`` words that share ``window - 1`` words with the part before."""
+    size = max(part_words, window)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = words_of(text.as_py())
+                for at in range(0, max(len(words) - window + 1, min(len(words), 1)), size - window + 1):
+                    part = words[at: at + size]
+                    rows.append((name or "", b" ".join(part), len(part)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int64())],
+                ["name", "words", "n"])
 
-def item_blocks(benchmark: DataFrame, window: int, block_words: int = BLOCK_WORDS) -> Iterator[ItemAutomaton]:
-    """Automata over the items, read partition by partition; each holds ``block_words`` words or one longer item."""
-    block, size = ItemAutomaton(window), 0
-    for row in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        words = words_of(row[1])
-        if size and size + len(words) > block_words:
-            yield block.finish()
-            block, size = ItemAutomaton(window), 0
-        if words:
-            block.add(row[0] or "", words)
-            size += len(words)
-    if size:
-        yield block.finish()
+    return benchmark.select(F.col("item_id").cast("string"), "text").mapInArrow(parts, "name string, words binary, n bigint")
+
+
+def item_blocks(benchmark: DataFrame, window: int, block_words: int = BLOCK_WORDS, part_words: int = PART_WORDS) -> tuple[DataFrame, int]:
+    """(stored ``block, automaton`` rows, their number); the automata are built by tasks."""
+    parts = stored(item_parts(benchmark, window, part_words).withColumn("row", F.monotonically_increasing_id()), "items")
+    blocks = max(1, -(-(parts.agg(F.sum("n")).first()[0] or 0) // block_words))
+
+    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(block: int, automaton: ItemAutomaton) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([automaton.finish().packed()], pa.binary())], ["block", "automaton"])
+
+        now, automaton = None, None
+        for batch in batches:
+            for block, name, words in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != now:
+                    if automaton is not None:
+                        yield row(now, automaton)
+                    now, automaton = block, ItemAutomaton(window)
+                automaton.add(name, words.split(b" "))
+        if automaton is not None:
+            yield row(now, automaton)
+
+    dealt = parts.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("long").alias("block"), "name", "words", "row")
+    grouped = dealt.repartition(min(blocks, shuffle_slots(benchmark)), "block").sortWithinPartitions("block", "row").drop("row")
+    return stored(grouped.mapInArrow(built, "block bigint, automaton binary"), "automata"), blocks
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -171,7 +268,7 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def mark_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
-                   marks: tuple[str, str, str] = MARKS) -> DataFrame:
+                   part_words: int = PART_WORDS, marks: tuple[str, str, str] = MARKS) -> DataFrame:
     """``docs`` with ``marks``: the number of words, the hit word spans, and the items with occurring windows.
 
     Columns of those names are replaced.
@@ -183,32 +280,45 @@ def mark_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     schema = ddl(marked)
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def passes(automaton: ItemAutomaton):
-        shared = spark.sparkContext.broadcast(cloudpickle.dumps(automaton))  # with its class, by value
-
+    def passes(blocks: list):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = pickle.loads(shared.value)
+            held: dict[int, PackedAutomaton] = {}
+
+            def automaton(k: int) -> PackedAutomaton:
+                if k not in held:
+                    while len(held) >= HELD_BLOCKS:
+                        del held[next(iter(held))]
+                    held[k] = PackedAutomaton(blocks[k].value)
+                    if len(blocks) > HELD_BLOCKS:
+                        del blocks[k]._value  # read again from the executor's file for the next batch
+                return held[k]
+
             for batch in batches:
-                counts, all_spans, all_items = [], [], []
+                texts = [words_of(text.as_py()) for text in batch.column(text_at)]
                 old_spans, old_items = (c.to_pylist() for c in batch.columns[-2:])
-                for i, text in enumerate(batch.column(text_at)):
-                    words = words_of(text.as_py())
-                    spans, items = automaton.mark(words)
-                    counts.append(len(words))
-                    spans = joined([(s["start"], s["end"]) for s in old_spans[i]] + spans)
-                    all_spans.append([{"start": a, "end": b} for a, b in spans])
-                    all_items.append(old_items[i] + [automaton.names[k] for k in sorted(items)])
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-3], pa.array(counts, pa.int64()), pa.array(all_spans, span_type), pa.array(all_items, pa.list_(pa.string()))],
-                    [*batch.schema.names])
+                spans = [[(s["start"], s["end"]) for s in old] for old in old_spans]
+                items = [set(old) for old in old_items]
+                for k in range(len(blocks)):
+                    block = automaton(k)
+                    for i, words in enumerate(texts):
+                        found, named = block.mark(words)
+                        spans[i] += found
+                        items[i].update(block.names[n] for n in named)
+                marks = [pa.array([len(words) for words in texts], pa.int64()),
+                         pa.array([[{"start": a, "end": b} for a, b in joined(s)] for s in spans], span_type), pa.array([sorted(n) for n in items], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *marks], batch.schema.names)
         return run
 
-    blocks = 0
-    for automaton in item_blocks(benchmark, window, block_words):
-        marked = marked.mapInArrow(passes(automaton), schema)
-        blocks += 1
-    if not blocks:
-        marked = marked.mapInArrow(passes(ItemAutomaton(window).finish()), schema)
+    automata, blocks = item_blocks(benchmark, window, block_words, part_words)
+    for first in range(0, blocks, PASS_BLOCKS):
+        # one row at a time; broadcasts of a pass end with it
+        rows = automata.where(F.col("block").between(first, first + PASS_BLOCKS - 1)).toLocalIterator()
+        shared = [spark.sparkContext.broadcast(bytes(r["automaton"])) for r in rows]
+        marked = marked.mapInArrow(passes(shared), schema)
+        if first + PASS_BLOCKS < blocks:
+            marked = stored(marked, "marked")
+            for block in shared:
+                block.destroy()
     return marked
 
 
