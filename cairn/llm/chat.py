@@ -51,21 +51,22 @@ def expanded_tokens(part: Column) -> Column:
             .otherwise(0).cast("long"))
 
 
-def visit(part: Column) -> Column:
-    """What a part writes: its escaped text, or the placeholder of its type."""
-    return (F.when(part["type"] == "text", escape(F.coalesce(part["text"], F.lit(""))))
+def visit(part: Column, written: bool = True) -> Column:
+    """What a part writes: its escaped text (as it is unless ``written``), or the placeholder of its type."""
+    text = F.coalesce(part["text"], F.lit(""))
+    return (F.when(part["type"] == "text", escape(text) if written else text)
             .when(part["type"].isin("image", "audio", "document"), F.concat(F.lit("<|"), part["type"], F.lit("|>")))
             .otherwise(F.lit("")))
 
 
-def flatten_parts(parts: Column) -> tuple[Column, Column]:
-    """(content, attachments): attachments are ``(place, type, uri, tokens)`` in the order of their placeholders."""
+def flatten_parts(parts: Column) -> tuple[Column, Column, Column]:
+    """(content, attachments, plain content): attachments are ``(place, type, uri, tokens)`` in the order of their placeholders."""
     whole = F.coalesce(parts, F.array().cast(f"array<{PART_TYPE}>"))
-    content = F.array_join(F.transform(whole, visit), "")
+    content, plain = (F.array_join(F.transform(whole, lambda p: visit(p, written)), "") for written in (True, False))  # noqa: B023
     others = F.filter(whole, lambda p: p["type"].isin("image", "audio", "document"))
     attachments = F.transform(others, lambda p, i: F.struct(
         i.alias("place"), p["type"].alias("type"), p["uri"].alias("uri"), expanded_tokens(p).alias("tokens")))
-    return content, attachments
+    return content, attachments, plain
 
 
 def text_part(text: Column) -> Column:
@@ -78,13 +79,14 @@ def text_part(text: Column) -> Column:
 
 def format_chats(turns: DataFrame) -> DataFrame:
     """``conv_id, n_turns, formatted, loss_spans, attachments, media_tokens`` from ``conv_id, turn, role, parts``."""
-    content, attachments = flatten_parts(F.col("parts"))
-    role = escape(F.coalesce(F.col("role"), F.lit("")))
+    content, attachments, plain = flatten_parts(F.col("parts"))
+    spoken = F.coalesce(F.col("role"), F.lit(""))
+    role = escape(spoken)
     pieces = turns.select(
-        "conv_id", "turn", (F.coalesce(F.col("role"), F.lit("")) == LOSS_ROLE).alias("_loss"), role.alias("_role"),
+        "conv_id", "turn", (spoken == LOSS_ROLE).alias("_loss"), spoken.alias("_role"), plain.alias("_plain"),
         content.alias("_content"), attachments.alias("_attached"),
         F.concat(F.lit(TURN), role, F.lit(TEXT), content, F.lit(END)).alias("_piece"))
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "_role", "_content")
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "_role", "_plain")
     placed = pieces.select(
         "conv_id", "_piece", "_loss", "_attached", F.char_length("_content").alias("_length"), F.row_number().over(order).alias("_at"),
         (F.sum(F.char_length("_piece").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))

@@ -6,7 +6,7 @@ Pieces arrive in blocks of ``BLOCK``, longest first. Only a document longer than
 the remainder, the others fill a sequence each.
 
 Tokenising and packing are one pass each; the shuffle between them carries a row of a few numbers per piece, dealt by
-hash, so packers get even shares. ``INPUT_PER_PACKER`` scan partitions share one packer.
+hash, so packers get even shares. There is one packer for ``SLOTS_PER_PACKER`` of the session's shuffle partitions.
 
 Defined results: null or empty text is the end token alone; rows that repeat a ``doc_id`` are packed as separate
 documents; a null ``doc_id`` is packed too; ties are ordered by ``doc_id`` and content; no rows give no pieces.
@@ -22,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.store import shuffle_slots
+
 SEQUENCE, END_TOKEN = 1024, 2
 #: added token of the tokenizer file; it is matched inside texts before words are
 ADDED = "<|endoftext|>", 50256
 OPEN_BINS, BLOCK = 8192, 16_384
-INPUT_PER_PACKER = 8
+SLOTS_PER_PACKER = 8
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHED_PIECES, CACHED_CHARS = 400_000, 64
 
@@ -168,5 +170,5 @@ def pack(pieces: DataFrame, packers: int, sequence: int = SEQUENCE, open_bins: i
 
 def pack_documents(docs: DataFrame, ranks_path: str, sequence: int = SEQUENCE, open_bins: int = OPEN_BINS) -> DataFrame:
     """Every piece of every document with its place: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
-    packers = max(2, docs.rdd.getNumPartitions() // INPUT_PER_PACKER)
+    packers = max(2, shuffle_slots(docs) // SLOTS_PER_PACKER)
     return pack(tokenise(docs, ranks_path, sequence), packers, sequence, open_bins)

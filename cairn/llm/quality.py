@@ -4,8 +4,8 @@ Each class has its own mean and a covariance shrunk towards a scaled identity (o
 is the logistic of the difference of the two Gaussian log densities, whose Mahalanobis distances use Cholesky factors
 that are inverted once. Statistics come from the text alone, in one pass over Arrow batches.
 
-The fit reads at most ``FIT_ROWS`` labelled documents (those with the smallest hash of ``doc_id``); this bound is what the
-driver holds. Documents are scored in place, whatever their number.
+The fit reads at most ``FIT_ROWS`` labels (those with the smallest hash of ``doc_id``) and as many rows of their documents; this bound
+is what the driver holds. Documents are scored in place, whatever their number.
 
 Defined results: null and empty texts are scored (their statistics are zero); a document labelled twice counts twice if
 the labels agree row by row, null labels are not learned from; without rows of both classes every score is the share
@@ -30,7 +30,7 @@ THRESHOLD = 0.7
 #: a text of so many words is drawn half way to the middle value of every statistic
 SHORT_WORDS = 25
 STATISTICS = ("log_words", "log_word_length", "upper", "digits", "marks", "symbols", "non_ascii", "lines_per_word",
-              "log_distinct", "log_repeats", "log_top_byte")
+              "log_distinct", "log_repeats", "log_symbols", "log_top_byte")
 
 
 def crc_fold(doc_id: Column, folds: int = 4) -> Column:
@@ -50,6 +50,14 @@ def byte_classes() -> np.ndarray:
     return kinds
 
 
+def top_bytes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often each text's most frequent byte other than white space occurs."""
+    rows = len(offsets) - 1
+    shown = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])[data]
+    cells = np.repeat(np.arange(rows), np.diff(offsets))[shown] * 256 + data[shown]
+    return np.bincount(cells, minlength=256 * rows).reshape(rows, 256).max(1)
+
+
 def statistics(texts: pa.Array) -> np.ndarray:
     """A row of transformed statistics per text; nulls count as empty."""
     kinds, out = byte_classes(), np.zeros((len(texts), len(STATISTICS)))
@@ -73,7 +81,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
         out[row:end] = np.column_stack([
             np.log1p(n), np.log1p(visible / most), np.sqrt(share[:, 0]), np.sqrt(share[:, 1]), np.sqrt(share[:, 2]), np.sqrt(share[:, 3]),
             np.sqrt(share[:, 4]), np.log1p(100 * by_kind[:, 6] / most), np.log1p(distinct) / np.log1p(most), np.log1p(100 * repeats / most),
-            np.log1p(by_kind[:, 4]) / np.log1p(size)])
+            np.log1p(by_kind[:, 4]) / np.log1p(size), np.log1p(top_bytes(data, offsets)) / np.log1p(size)])
     return out
 
 
@@ -117,16 +125,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out_fold: int | None =
     learnt = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     if held_out_fold is not None:
         learnt = learnt.where(crc_fold(F.col("doc_id")) != held_out_fold)
-    picked = learnt.select(F.col("doc_id").alias("_doc"), (F.col("quality") == 1).alias("_good")).orderBy(
+    picked = learnt.select(F.col("doc_id").cast("long").alias("_doc"), (F.col("quality") == 1).alias("_good")).orderBy(
         F.xxhash64("_doc"), "_doc", "_good").limit(fit_rows)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = statistics(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["good", "x"])
+            x = statistics(batch.column(2))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(list(x), pa.list_(pa.float64()))], ["_doc", "good", "x"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_doc")).select("_good", "text").mapInArrow(
-        measured, "good boolean, x array<double>").collect()
+    # a doc_id may repeat, so the bound holds for the joined rows too
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_doc")).select("_doc", "_good", "text").mapInArrow(
+        measured, "_doc bigint, good boolean, x array<double>").orderBy(F.xxhash64("_doc"), "_doc", "good", "x").limit(fit_rows).select("good", "x").collect()
     return QuadraticDiscriminant(np.array([r[1] for r in rows]).reshape(-1, len(STATISTICS)), np.array([r[0] for r in rows], bool))
 
 

@@ -37,8 +37,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    # conversation -1 rides along on the table's plan as two literal rows
-    own = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], rows.schema)
+    # conversation -1 as two literal rows
+    said = F.array(*(F.struct(F.lit(-1).alias("conv_id"), F.lit(k).alias("turn"), F.lit(role).alias("role"), F.lit(CONTROL).alias("text"))
+                     for k, role in enumerate(("user", "assistant"))))
+    own = spark.range(1).select(F.inline(said)).select(*(F.col(f.name).cast(f.dataType) for f in rows.schema.fields))
     turns = rows.unionByName(own).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))
     read = chat.format_chats(turns).withColumn("_turns", chat.parse_chat(F.col("formatted"))).withColumn(
         "_loss", chat.loss_text(F.col("formatted"), F.col("loss_spans")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -61,21 +61,41 @@ def kept(spark, documents, tmp_path_factory):
     return out
 
 
+def plain_statistics(texts):
+    """The statistics of the classifier, counted text by text."""
+    out = []
+    for text in texts:
+        raw, w = (text or "").encode(), words(text)
+        size, n = max(len(raw), 1), len(w)
+        count = lambda test: sum(map(test, raw))  # noqa: B023,E731
+        upper, digits, marks = count(lambda b: 65 <= b <= 90), count(lambda b: 48 <= b <= 57), count(lambda b: b in b".,;:'?-")
+        symbols = count(lambda b: 33 <= b <= 126 and not chr(b).isalnum() and b not in b".,;:'?-")
+        lines = raw.count(b"\n")
+        repeats = sum(a == b for a, b in zip(w, w[1:]))
+        top = max(Counter(b for b in raw if b not in b" \t\n\x0b\x0c\r").values(), default=0)
+        most, log = max(n, 1), math.log1p
+        out.append([log(n), log((size - lines) / most), *(math.sqrt(c / size) for c in (upper, digits, marks, symbols, count(lambda b: b >= 128))),
+                    log(100 * lines / most), log(len(set(w))) / log(most), log(100 * repeats / most), log(symbols) / log(size), log(top) / log(size)])
+    return np.array(out).reshape(len(texts), -1)
+
+
 def test_quality_stage(spark, kept):
     before, after = kept[0], kept[1]
+    assert np.allclose(plain_statistics([r.text for r in before]), quality.statistics(pa.array([r.text for r in before], pa.string())))
     labels = defaultdict(list)
     for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect():
         labels[r.doc_id].append(r.quality)
     learnt = [(r.text, y) for r in before for y in labels[r.doc_id] if y is not None]
+
     def shares(x):
         n = np.expm1(x[:, :1])
         return middle + (x[:, 1:] - middle) * n / (n + quality.SHORT_WORDS)
 
-    x = quality.statistics(pa.array([t for t, _ in learnt], pa.string()))
+    x = plain_statistics([t for t, _ in learnt])
     middle = np.median(x[:, 1:], 0)
     x, y = shares(x), np.array([k == 1 for _, k in learnt])
     centre, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-    z = (shares(quality.statistics(pa.array([r.text for r in before], pa.string()))) - centre) / scale
+    z = (shares(plain_statistics([r.text for r in before])) - centre) / scale
     densities = []
     for group in (((x - centre) / scale)[y], ((x - centre) / scale)[~y]):
         spread = 0.9 * np.cov(group.T, bias=True)
@@ -105,19 +125,27 @@ def test_line_stage(kept):
 
 
 def test_jaccard_stage(kept):
+    """One row of every class of linked rows stays, one with its smallest doc_id; rows are judged by themselves."""
     rows, sets = kept[2], []
     for r in rows:
         w = words(r.text)
-        sets.append({tuple(w[i: i + 5]) for i in range(max(len(w) - 4, 1))} if w else set())
-    group = {r.doc_id: r.doc_id for r in rows}
-    for i, r in enumerate(rows):
+        sets.append({tuple(w[i: i + 5]) for i in range(max(len(w) - 4, 1))} if w and r.doc_id is not None else set())
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and None not in (r.doc_id, rows[j].doc_id) and both >= 0.8 * len(sets[i] | sets[j]):
-                a, b = sorted((group[r.doc_id], group[rows[j].doc_id]))
-                group = {k: a if v == b else v for k, v in group.items()}
-    want = [tuple(r) for r in rows if group[r.doc_id] == r.doc_id]
-    assert len(want) < len(rows) and sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in kept[3])
+            if both and group[i] != group[j] and both >= 0.8 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    classes = defaultdict(list)
+    for r, g in zip(rows, group):
+        classes[g].append(r)
+    assert len(classes) < len(rows) and len(kept[3]) == len(classes)
+    left = Counter(repr(tuple(r)) for r in kept[3])
+    for members in classes.values():
+        first = [r for r in members if r.doc_id == min((m.doc_id for m in members if m.doc_id is not None), default=None)]
+        stays = next(k for k in (repr(tuple(r)) for r in first) if left[k])
+        left[stays] -= 1
+    assert not +left
 
 
 def test_decontamination_stage(spark, kept):
@@ -145,7 +173,6 @@ def test_packing_stage(kept):
     from tokenizers import Tokenizer
 
     tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokens.encode_special_tokens = True
     want, places, total = [], defaultdict(list), 0
     for r in kept[4]:
         ids = [*tokens.encode(r.text or "", add_special_tokens=False).ids, 2]
