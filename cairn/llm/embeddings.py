@@ -25,7 +25,7 @@ from cairn.llm.store import stored
 
 THRESHOLD, RECALL = 0.9, 0.99999
 #: rows of an average bucket; rows of a block of a bucket or, in parts of a group, at least and at most
-BUCKET_ROWS, BLOCK_ROWS, GROUP_ROWS = 512, 2048, 64
+BUCKET_ROWS, BLOCK_ROWS, GROUP_ROWS = 512, 2048, 32
 SEED = 11
 
 

@@ -37,7 +37,7 @@ def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
 
 
 #: a bucket is compared by at least the blocks in so many parts before its blocks grow beyond the least size
-SPREAD = 16
+SPREAD = 32
 
 
 def runs_in_place(members: DataFrame, least: int) -> DataFrame:

@@ -202,7 +202,7 @@ def verified(groups: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: fl
         F.first("runs").alias("runs"), F.first("weight").alias("weight"))
     members = groups.join(nodes.select("id", "bytes"), "id").select(
         F.col("component").alias("bucket"), "id", F.greatest("bytes", F.lit(GROUP_BYTES // GROUP_BLOCK)).alias("weight"))
-    return dealt_blocks(members, payload, GROUP_BYTES // 4, GROUP_BYTES).mapInArrow(compared, "a bigint, b bigint, links bigint")
+    return dealt_blocks(members, payload, GROUP_BYTES // 8, GROUP_BYTES).mapInArrow(compared, "a bigint, b bigint, links bigint")
 
 
 def judged_rows(docs: DataFrame, threshold: float) -> DataFrame:
