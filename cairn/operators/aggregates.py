@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,3 +31,16 @@ def count_if(test: Column) -> Column:
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows of a total order: each task keeps ``n``, no full sort."""
     return df.orderBy(*order).limit(n)
+
+
+def grouping_totals(df: DataFrame, sets: Sequence[Sequence[str]], measures: Mapping[str, Column], level: str = "level") -> DataFrame:
+    """Measures per several sets of keys at once, from one scan (the sets are one ``Expand`` before the partial aggregate).
+
+    ``level`` is a number with one bit per key in order of appearance, the first key highest, set where the row is a total over that
+    key; it tells totals from groups of NULL keys. An empty set gives the grand total; an empty table gives no rows.
+    """
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    bits = [F.grouping(k) * (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)]
+    total = reduce(Column.__add__, bits) if bits else F.lit(0)
+    return df.groupingSets([[F.col(k) for k in s] for s in sets], *keys).agg(
+        total.cast("int").alias(level), *[expr.alias(name) for name, expr in measures.items()])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import difflib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -122,10 +122,25 @@ def similar_words(vocabulary: DataFrame, keywords: dict[str, str], cutoff: float
             yield batch[batch[list(matchers)].any(axis=1)]
 
     flags = "".join(f", {flag} boolean" for flag in keywords.values())
-    # the ratio's length bound, so words that are much too short or long never reach Python
-    size = F.length("word")
-    in_reach = [2.0 * F.least(size, F.lit(len(k))) / (size + len(k)) >= cutoff for k in keywords]
-    return vocabulary.select("word").where(reduce(Column.__or__, in_reach)).mapInPandas(score, f"word string{flags}")
+    return vocabulary.select("word").where(in_reach(F.col("word"), keywords, cutoff)).mapInPandas(score, f"word string{flags}")
+
+
+def in_reach(word: Column, keywords: Iterable[str], cutoff: float) -> Column:
+    """Can a word reach the similarity ratio with a keyword? Two upper bounds, both in the JVM.
+
+    The ratio is twice the matching characters per characters of both; the shorter word bounds the matches, and so do the
+    characters that both words share, counted with repetitions.
+    """
+    size = F.length(word)
+
+    def ratio(shared: Column, k: str) -> Column:
+        return 2.0 * shared / (size + len(k)) >= cutoff
+
+    def shared(k: str) -> Column:
+        counts = [F.least(size - F.length(F.replace(word, F.lit(c), F.lit(""))), F.lit(k.count(c))) for c in sorted(set(k))]
+        return reduce(Column.__add__, counts)
+
+    return reduce(Column.__or__, [ratio(F.least(size, F.lit(len(k))), k) & ratio(shared(k), k) for k in keywords])
 
 
 def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str], cutoff: float = FUZZY_CUTOFF,
@@ -133,8 +148,8 @@ def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str]
     """Catalog rows whose text contains keywords or words much like them.
 
     Keywords with a blank or of at most three letters are matched as plain text. For the
-    others the words of all texts are reduced to their distinct vocabulary first, so the
-    similarity runs once per word. The similar words find their texts by an equality join,
+    others only words that can reach the ratio by their characters leave a text; their distinct
+    vocabulary is compared once per word, and the similar words find their texts by an equality join,
     and texts are told apart by their SHA-256, so copies of a text cost one entry. Nothing
     runs before the result is asked for.
     """
@@ -147,8 +162,8 @@ def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str]
     fuzzy = {k: f"__k{i}" for i, k in enumerate(keywords) if " " not in k and len(k) > SHORT_WORD}
     similar = {k: F.lit(False) for k in keywords}
     if fuzzy:
-        vocabulary = rows.select(F.explode(row_words).alias("word")).where(
-            F.length("word") > SHORT_WORD).distinct()
+        row_words = F.filter(row_words, lambda w: (F.length(w) > SHORT_WORD) & in_reach(w, fuzzy, cutoff))
+        vocabulary = rows.select(F.explode(row_words).alias("word")).distinct()
         near = similar_words(vocabulary, fuzzy, cutoff)
         rows = _join_near_words(rows, text, row_words, near, list(fuzzy.values()))
         similar.update({k: F.coalesce(F.col(flag), F.lit(False)) for k, flag in fuzzy.items()})
@@ -218,17 +233,33 @@ def synonym_match(concepts: Sequence[str], synonyms: DataFrame) -> DataFrame:
     return first.select("concept", "entity", F.col("found.score").alias("synonym_score"), "found.note")
 
 
+def _spellings(token: str) -> list[str]:
+    """The words whose :func:`tokens` hold a token: itself, and itself with an ending that is cut off."""
+    return [token, *(token + end for end, longer in STEMS.items() if len(token) + len(end) > longer)]
+
+
 def description_match(concepts: Sequence[str], entities: DataFrame) -> DataFrame:
     """Share of a concept's tokens that occur in an entity's description.
 
     ``entities``: (entity, description). Every description is scored in place: one scan and
-    no shuffle, and at most one row per entity and concept asked for.
+    no shuffle, and at most one row per entity and concept asked for. Only the words that give a
+    token asked for are taken from a text, so no array of all its words and stems is built.
     """
-    listed = entities.select("entity", tokens("description").alias("tokens"), _asked(concepts))
-    shared = listed.select("_.concept", "entity", F.size("_.tokens").alias("n"),
-                           F.size(F.array_intersect("_.tokens", "tokens")).alias("k"))
-    score = F.round(F.col("k") / F.greatest("n", F.lit(1)) * DESCRIPTION_FACTOR, 3)
-    return shared.where("k > 0").select("concept", "entity", score.alias("description_score"))
+    if not concepts:
+        raise ValueError("a score needs at least one concept")
+    asked = {c: [_spellings(t) for t in phrase_tokens(c)] for c in dict.fromkeys(concepts)}
+    wanted = sorted({w for tokens_ in asked.values() for spelt in tokens_ for w in spelt})
+    whole_words = f"(?<![a-z])(?:{'|'.join(wanted)})(?![a-z])" if wanted else "(?!)"
+    found = F.array_distinct(F.regexp_extract_all(F.lower("description"), F.lit(whole_words), F.lit(0)))
+    held = entities.select("entity", found.alias("found")).where(F.size("found") > 0)
+
+    def shared(spelt: list[list[str]]) -> Column:
+        return reduce(Column.__add__, [F.arrays_overlap("found", F.array(*map(F.lit, s))).cast("int") for s in spelt], F.lit(0))
+
+    scores = F.array(*[F.struct(F.lit(c).alias("concept"), F.lit(len(spelt)).alias("n"), shared(spelt).alias("k")) for c, spelt in asked.items()])
+    rows = held.select("entity", F.explode(scores).alias("_")).where("_.k > 0")
+    score = F.round(F.col("_.k") / F.greatest("_.n", F.lit(1)) * DESCRIPTION_FACTOR, 3)
+    return rows.select("_.concept", "entity", score.alias("description_score"))
 
 
 def combined_score(synonym: DataFrame, description: DataFrame, column_bonus: float = 0.0) -> DataFrame:

@@ -47,6 +47,36 @@ def left_lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str] | Sequence[
     return joined.selectExpr(*[f"`{c}`" for c in df.columns], *[f"__a{i} as `{c}`" for i, c in enumerate(add)])
 
 
+def hot_keys(df: DataFrame, key: str, share: float, most: int = 100) -> list:
+    """Values of a column with at least about ``share`` of the rows, at most ``most`` of them.
+
+    The counts come from a mergeable sketch of ``100 * most`` counters, so no key is shuffled; every value above
+    ``share`` is among them as long as ``share`` is above one counter's part.
+    """
+    if not 0 < share <= 1 or share * 100 * most < 2:
+        raise ValueError("the sketch holds too few counters for that share")
+    held = df.where(F.col(key).isNotNull())
+    row = held.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(`{key}`, {most}, {100 * most})").alias("top")).first()
+    return [item["item"] for item in (row["top"] or []) if item["count"] >= share * row["n"]]
+
+
+def hot_lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], add: Sequence[str], hot: Sequence, salts: int = 16) -> DataFrame:
+    """Left join to a dimension with only the ``hot`` fact keys salted (see :func:`hot_keys`).
+
+    A hot key is spread over ``salts`` partitions, and only the dimension rows of hot keys are repeated; the others are as in
+    :func:`left_lookup`. The rows are the same as those of the plain join.
+    """
+    left_key, right_key = on
+    if not hot:
+        return left_lookup(df, dim, {left_key: right_key}, add)
+    among = lambda c: F.coalesce(F.col(c).isin(list(hot)), F.lit(False))
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    facts = df.withColumn(_SALT, F.when(among(left_key), spread).otherwise(F.lit(0)))
+    copies = F.when(among(right_key), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    rows = dim.select(right_key, *[c for c in add if c != right_key], F.explode(copies).alias("__dim_salt"))
+    return left_lookup(facts, rows, {left_key: right_key, _SALT: "__dim_salt"}, add).drop(_SALT)
+
+
 def lookup_on(df: DataFrame, dim: DataFrame, left_key: Column, right_key: str,
               add: Sequence[str]) -> DataFrame:
     """Left join on a computed left key, such as a padded business key."""

@@ -8,8 +8,8 @@ from cairn.sources.readers import (
     load_source,
     register_views,
 )
-from cairn.sources.sinks import export, materialize
+from cairn.sources.sinks import export, materialize, store_clustered, store_partitions
 
 __all__ = ["describe", "entity_descriptions", "export", "list_tables",
            "load_catalog_dir", "load_seed", "load_source", "materialize", "register_views", "sample",
-           "table_overview"]
+           "store_clustered", "store_partitions", "table_overview"]

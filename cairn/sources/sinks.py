@@ -28,6 +28,25 @@ def materialize(df: DataFrame, name: str, kind: str = "view", root: str | None =
     return df.sparkSession.read.parquet(path)
 
 
+def store_clustered(df: DataFrame, name: str, keys: Sequence[str], buckets: int, root: str | None = None) -> DataFrame:
+    """Store a model hashed by ``keys`` into ``buckets`` and sorted in them, and read it back as a table.
+
+    Joins and aggregates on the keys read it without an exchange, also with another model stored with the same number of
+    buckets. The files lie in the shared folder; every call has a path and a table name of its own.
+    """
+    run = uuid.uuid4().hex
+    path, table = f"{(root or shared_dir(df.sparkSession)).rstrip('/')}/{name}/{run}", f"{name}_{run}"
+    # one file per bucket
+    df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def store_partitions(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
+    """Store a model in one folder per value of ``by``; only the folders that ``df`` has rows for are replaced."""
+    (df.repartition(*by).write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
+    return df.sparkSession.read.parquet(path)
+
+
 def export(models: dict[str, DataFrame], root: str, fmt: str = "both",
            select: Sequence[str] | None = None) -> list[str]:
     """Write models as CSV, Parquet or both; returns the written paths.

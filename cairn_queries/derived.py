@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.operators import discovery, lineage, lists, pii
+from cairn import sources
+from cairn.operators import aggregates, discovery, joins, lineage, lists, pii
 from cairn.plans import metrics
+from cairn.session import shared_dir
 from cairn_queries.catalog import EDGES_SQL, NODES_SQL, edges, nodes
 from cairn_queries.fixtures import LINE_ID, Tables, gap, raw_sql
 from cairn_queries.registry import query
@@ -228,3 +231,58 @@ def _(t: Tables) -> DataFrame:
         || ' for ' || if({SSN_OK}, '[REDACTED:US_SSN]', ssn) else '[REDACTED]' end as note from parts""")
 def _(t: Tables) -> DataFrame:
     return pii.redact(_select(t.orders, NOTES).select("o_orderkey", "note"), ["note"], validated=True)
+
+
+# --- several levels of totals in one scan
+
+BATCHES_SQL = f"""select b.park_id, region_id, date_trunc('month', batch_date)::date as month, cast(gross_revenue as decimal(18,2)) as revenue
+    from ({raw_sql('vistareserve.revenue_batch')}) b left join ({raw_sql('vistareserve.parks')}) p on p.park_id = b.park_id"""
+
+
+@query("revenue_totals_by_level", "E2,E3,E6", f"""
+    with b as ({BATCHES_SQL})
+    select region_id, park_id, month, (grouping(region_id) * 4 + grouping(park_id) * 2 + grouping(month))::int as level,
+        sum(revenue)::decimal(28,2) as revenue, count(*) as batches
+    from b group by grouping sets ((region_id, park_id, month), (region_id, month), (region_id), ())""")
+def _(t: Tables) -> DataFrame:
+    batches = t.raw("vistareserve.revenue_batch").select(
+        "park_id", F.trunc("batch_date", "month").alias("month"), F.col("gross_revenue").cast("decimal(18,2)").alias("revenue"))
+    placed = joins.left_lookup(batches, t.raw("vistareserve.parks"), ["park_id"], ["region_id"])
+    sets = [["region_id", "park_id", "month"], ["region_id", "month"], ["region_id"], []]
+    return aggregates.grouping_totals(placed, sets, {"revenue": F.sum("revenue"), "batches": F.count("*")})
+
+
+# --- clustered and partitioned storage, hot keys
+
+@query("join_clustered_tables", "A4,D1", """
+    select o_orderkey, o_orderstatus, count(l_linenumber) as lines, sum(cast(l_quantity as bigint))::bigint as quantity
+    from orders left join lineitem on l_orderkey = o_orderkey group by all""")
+def _(t: Tables) -> DataFrame:
+    orders = sources.store_clustered(t.orders.select("o_orderkey", "o_orderstatus"), "orders_by_key", ["o_orderkey"], 8)
+    lines = sources.store_clustered(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), "lines_by_key", ["l_orderkey"], 8)
+    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy("o_orderkey", "o_orderstatus").agg(
+        F.count("l_linenumber").alias("lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
+
+
+@query("restored_month", "A4", """
+    with last as (select max(date_trunc('month', o_orderdate)) as m from orders)
+    select o_orderkey, case when date_trunc('month', o_orderdate) = m then 'restored' else o_orderstatus end as status,
+        strftime(o_orderdate, '%Y-%m') as month from orders, last""")
+def _(t: Tables) -> DataFrame:
+    path = f"{shared_dir(t.spark)}/orders_by_month/{uuid.uuid4().hex}"
+    orders = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    sources.store_partitions(orders, path, ["month"])
+    # storing the last month again leaves the other months as they are
+    last = orders.agg(F.max("month").alias("month"))
+    sources.store_partitions(orders.join(last, "month").withColumn("status", F.lit("restored")), path, ["month"])
+    return t.spark.read.schema("o_orderkey bigint, status string, month string").parquet(path)
+
+
+HOT_LINES = "(select l_orderkey, l_linenumber, case when l_orderkey % 3 = 0 then 1 else l_suppkey end as supplier from lineitem)"
+
+
+@query("join_hot_keys", "D1", f"select l_orderkey, l_linenumber, supplier, s_name from {HOT_LINES} left join supplier on s_suppkey = supplier")
+def _(t: Tables) -> DataFrame:
+    # a third of all lines share one supplier
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("l_suppkey")).alias("supplier"))
+    return joins.hot_lookup(lines, t.supplier, ("supplier", "s_suppkey"), ["s_name"], joins.hot_keys(lines, "supplier", 0.1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import difflib
 import random
 from collections import defaultdict
 from itertools import combinations
@@ -12,7 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairn.functions import json_fields_guarded, json_text_guarded
-from cairn.operators import discovery, lineage, lists, pii, sweep
+from cairn import sources
+from cairn.operators import aggregates, catalog, discovery, joins, lineage, lists, pii, sweep
 from cairn.plans import metrics
 
 
@@ -209,3 +211,78 @@ def test_one_json_parse_equals_a_parse_per_field(spark):
     assert [(r.t, r.a, r.b) for r in got] == [(r.t, r.x, r.y) for r in got]
     plan = df.select(one["a"], one["b"])._jdf.queryExecution().optimizedPlan().toString()
     assert "get_json_object" not in plan
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grouping_totals_are_one_scan(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("a", None, 3), (None, 1, 5)], "k string, j int, v int")
+    out = aggregates.grouping_totals(df, [["k", "j"], ["k"], []], {"v": F.sum("v")})
+    assert {r[:] for r in out.collect()} == {("a", 1, 0, 2), ("a", None, 0, 3), (None, 1, 0, 5), ("a", None, 1, 5), (None, None, 1, 5), (None, None, 3, 10)}
+    assert executed(out).split("== Initial Plan ==")[0].count("Expand") == 1
+    assert aggregates.grouping_totals(df.limit(0), [["k"], []], {"v": F.sum("v")}).count() == 0
+
+
+def test_clustered_tables_join_without_an_exchange(spark):
+    left = sources.store_clustered(spark.range(500).withColumn("x", F.col("id") % 7), "left_side", ["id"], 4)
+    right = sources.store_clustered(spark.range(0, 500, 5).withColumnRenamed("id", "k"), "right_side", ["k"], 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = left.join(right, left["id"] == right["k"])
+        assert joined.count() == 100 and "Exchange" not in executed(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_stored_partitions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    sources.store_partitions(spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "v int, p string"), path, ["p"])
+    out = sources.store_partitions(spark.createDataFrame([(9, "b"), (8, "c")], "v int, p string"), path, ["p"])
+    assert {r[:] for r in out.collect()} == {(1, "a"), (9, "b"), (8, "c")}
+
+
+def test_hot_keys_are_spread_without_adaptive_planning(spark):
+    facts = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 400).cast("long").alias("k")).unionAll(
+        spark.createDataFrame([(-1, None)], "id long, k long"))
+    dim = spark.range(300).select(F.col("id").alias("key"), F.concat(F.lit("n"), "id").alias("name"))
+    hot = joins.hot_keys(facts, "k", 0.1)
+    assert hot == [7] and joins.hot_keys(facts.limit(0), "k", 0.1) == []
+    before = {c: spark.conf.get(c, None) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plain, salted = joins.left_lookup(facts, dim, {"k": "key"}, ["name"]), joins.hot_lookup(facts, dim, ("k", "key"), ["name"], hot)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
+        largest = [df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] for df in (plain, salted)]
+        assert largest[0] > 4500 and largest[1] < 3700
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
+
+
+def test_bound_of_the_ratio_loses_no_word_and_spares_most(spark):
+    random.seed(7)
+    keys = ["thereing", "erentions"]
+    words = {"".join(random.choices("therinosaz", k=random.randint(4, 12))) for _ in range(4000)} | {"thering", "erention", "therein", *keys}
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    kept = {r.word for r in df.where(catalog.in_reach(F.col("word"), keys, 0.8)).collect()}
+    similar = {w for w in words if any(difflib.SequenceMatcher(None, w, k).ratio() >= 0.8 for k in keys)}
+    quick = {w for w in words if any(difflib.SequenceMatcher(None, w, k).quick_ratio() >= 0.8 for k in keys)}
+    assert similar <= kept == quick and len(kept) < 0.2 * len(words)
+
+
+def test_description_scores_equal_those_of_all_tokens(spark):
+    texts = ["Testing nations", "nation", "tests ting", "a s ing tion", "Bolts, bolting; Nationals", "", None, "threestion threes", "ings ing"]
+    concepts = ["The nation", "test bolt three", "s ing", "tion", "!!"]
+    df = spark.createDataFrame(list(enumerate(texts)), "entity int, description string")
+    held = {r.entity: set(r.t or []) for r in df.select("entity", catalog.tokens("description").alias("t")).collect()}
+    want = {}
+    for c in concepts:
+        asked = catalog.phrase_tokens(c)
+        for e, found in held.items():
+            if k := len(found & set(asked)):
+                want[c, e] = round(k / len(asked) * catalog.DESCRIPTION_FACTOR, 3)
+    assert {(r.concept, r.entity): r.description_score for r in catalog.description_match(concepts, df).collect()} == want
