@@ -35,6 +35,8 @@ from cairn.llm.words import byte_table
 WINDOW = 10
 PART_WORDS, BLOCK_WORDS = 50_000, 200_000
 PASS_BLOCKS, HELD_BLOCKS = 64, 2
+#: words of documents that a task holds at once (and one text)
+SLICE_WORDS = 100_000
 MARKS = ("_words", "_spans", "_items")
 
 
@@ -293,19 +295,31 @@ def mark_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         del blocks[k]._value  # read again from the executor's file for the next batch
                 return held[k]
 
-            for batch in batches:
-                texts = [words_of(text.as_py()) for text in batch.column(text_at)]
-                old_spans, old_items = (c.to_pylist() for c in batch.columns[-2:])
-                spans = [[(s["start"], s["end"]) for s in old] for old in old_spans]
-                items = [set(old) for old in old_items]
+            def marked_slice(texts: list[list[bytes]], spans: list[list], items: list[set]) -> None:
                 for k in range(len(blocks)):
                     block = automaton(k)
                     for i, words in enumerate(texts):
                         found, named = block.mark(words)
                         spans[i] += found
                         items[i].update(block.names[n] for n in named)
-                marks = [pa.array([len(words) for words in texts], pa.int64()),
-                         pa.array([[{"start": a, "end": b} for a, b in joined(s)] for s in spans], span_type), pa.array([sorted(n) for n in items], pa.list_(pa.string()))]
+
+            # words of a few texts at a time; longer slices where every slice reads all automata again
+            limit = SLICE_WORDS * (8 if len(blocks) > HELD_BLOCKS else 1)
+            for batch in batches:
+                old_spans, old_items = (c.to_pylist() for c in batch.columns[-2:])
+                spans = [[(s["start"], s["end"]) for s in old] for old in old_spans]
+                items = [set(old) for old in old_items]
+                counts, texts, held_words = [], [], 0
+                for text in batch.column(text_at):
+                    texts.append(words_of(text.as_py()))
+                    counts.append(len(texts[-1]))
+                    held_words += counts[-1]
+                    if held_words >= limit or len(counts) == batch.num_rows:
+                        part = slice(len(counts) - len(texts), len(counts))
+                        marked_slice(texts, spans[part], items[part])
+                        texts, held_words = [], 0
+                marks = [pa.array(counts, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in joined(s)] for s in spans], span_type),
+                         pa.array([sorted(n) for n in items], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *marks], batch.schema.names)
         return run
 
