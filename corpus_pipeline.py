@@ -1,7 +1,8 @@
 """A training corpus from raw documents, in stages that are each written before the next one reads.
 
 Every stage but the last returns the columns of ``documents``, with ``n_chars`` kept equal to the text's length; null text stays
-null where a stage leaves a document alone. Empty tables pass through every stage.
+null where a stage leaves a document alone. Empty tables pass through every stage; columns that share names with the operators' own
+stay as they are.
 """
 
 from __future__ import annotations
@@ -22,29 +23,44 @@ def recounted(docs: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject, unchanged."""
+    """Documents that the quality classifier does not reject, unchanged.
+
+    Null and empty texts are scored like others; rows that repeat a ``doc_id`` or have none are judged by their own text.
+    """
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out_fold=None)
     score, = free_names(docs, "_score")
     return quality.score_quality(docs, model, score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long lines of many documents stay in one of them."""
+    """Long lines of many documents stay in one of them.
+
+    Null text becomes one empty line; rows that repeat a ``doc_id`` are one document, without a ``doc_id`` nothing is dropped.
+    """
     return recounted(line_dedup.drop_lines(docs, counts=tuple(free_names(docs, "n_lines", "n_dropped"))), docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, unchanged."""
+    """One document of each group of near copies, unchanged.
+
+    Rows are judged one by one, so one of several equal rows stays; rows without words or ``doc_id`` all stay.
+    """
     return jaccard.drop_near(docs).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of benchmark items are cut out; documents that are mostly such passages go."""
+    """Passages of benchmark items are cut out; documents that are mostly such passages go.
+
+    Null text holds none; rows that repeat a ``doc_id`` are judged one by one; items that are null or wordless hit nothing.
+    """
     return recounted(decontaminate.remove_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in sequences."""
+    """Pieces of the documents with their places in sequences.
+
+    Null text is the end token alone; every row is packed, also one that repeats a ``doc_id`` or has none.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
