@@ -158,25 +158,26 @@ def search_fuzzy(catalog: DataFrame, words: Sequence[str], fields: Sequence[str]
     keywords = [w.lower() for w in words]
     rows = catalog if entity is None else catalog.where(F.lower(entity_column) == entity.lower())
     text = search_text(fields)
-    row_words = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)))
+    row_words = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
     fuzzy = {k: f"__k{i}" for i, k in enumerate(keywords) if " " not in k and len(k) > SHORT_WORD}
     similar = {k: F.lit(False) for k in keywords}
     if fuzzy:
-        row_words = F.filter(row_words, lambda w: (F.length(w) > SHORT_WORD) & in_reach(w, fuzzy, cutoff))
-        vocabulary = rows.select(F.explode(row_words).alias("word")).distinct()
+        # tested behind the explode, inside generated code
+        possible = (F.length("word") > SHORT_WORD) & in_reach(F.col("word"), fuzzy, cutoff)
+        vocabulary = rows.select(F.explode(row_words).alias("word")).where(possible).distinct()
         near = similar_words(vocabulary, fuzzy, cutoff)
-        rows = _join_near_words(rows, text, row_words, near, list(fuzzy.values()))
+        rows = _join_near_words(rows, text, row_words, possible, near, list(fuzzy.values()))
         similar.update({k: F.coalesce(F.col(flag), F.lit(False)) for k, flag in fuzzy.items()})
     tests = [text.contains(k) | similar[k] for k in keywords]
     return rows.where(_combine(tests, all_words)).select(*catalog.columns)
 
 
-def _join_near_words(rows: DataFrame, text: Column, row_words: Column, near: DataFrame,
+def _join_near_words(rows: DataFrame, text: Column, row_words: Column, possible: Column, near: DataFrame,
                      flags: Sequence[str]) -> DataFrame:
     """Rows with the flags of the similar words they contain."""
     # id and words are computed per row before the words are exploded
     listed = rows.select(F.sha2(text, 256).alias("__id"), row_words.alias("__words"))
-    used = listed.select("__id", F.explode("__words").alias("word"))
+    used = listed.select("__id", F.explode("__words").alias("word")).where(possible)
     hits = used.join(near, "word").groupBy("__id").agg(*[F.max(flag).alias(flag) for flag in flags])
     return rows.withColumn("__id", F.sha2(text, 256)).join(hits, "__id", "left")
 
