@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn import streaming
 from cairn.operators import quality as q
+from cairn.session import shared_dir
 from cairn_queries.fixtures import Tables, raw_sql
 from cairn_queries.models import model_ctes, warehouse
 from cairn_queries.registry import query
@@ -119,18 +123,25 @@ def _(t: Tables) -> DataFrame:
         q.unique_combination("l_orderkey", "l_linenumber")])
 
 
-@query("source_freshness", "K16", """
+FRESHNESS_SQL = """
     select table_name, loaded_at, date_diff('second', loaded_at, timestamp '2024-02-01 00:00:00') / 3600.0 as age_hours,
         case when date_diff('second', loaded_at, timestamp '2024-02-01 00:00:00') / 3600.0 > error then 'error'
              when date_diff('second', loaded_at, timestamp '2024-02-01 00:00:00') / 3600.0 > warn then 'warn' else 'pass' end as status
     from (select 'events' as table_name, date_trunc('second', max(ts)) as loaded_at, 24.0 as warn, 72.0 as error from events
           union all select 'orders', max(o_orderdate), 24.0, 72.0 from orders
-          union all select 'lineitem', max(l_shipdate), 24.0, 1000000.0 from lineitem)""")
-def _(t: Tables) -> DataFrame:
+          union all select 'lineitem', max(l_shipdate), 24.0, 1000000.0 from lineitem)"""
+AS_OF = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+
+
+def freshness_tables(t: Tables) -> dict:
     events = t.events.select(F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts"))
-    as_of = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    return q.freshness({"events": (events, "ts", 24.0, 72.0), "orders": (t.orders, "o_orderdate", 24.0, 72.0),
-                        "lineitem": (t.lineitem, "l_shipdate", 24.0, 1000000.0)}, as_of)
+    return {"events": (events, "ts", 24.0, 72.0), "orders": (t.orders, "o_orderdate", 24.0, 72.0),
+            "lineitem": (t.lineitem, "l_shipdate", 24.0, 1000000.0)}
+
+
+@query("source_freshness", "K16", FRESHNESS_SQL)
+def _(t: Tables) -> DataFrame:
+    return q.freshness(freshness_tables(t), AS_OF)
 
 
 @query("check_orphan_parks", "K17", f"""{model_ctes('int_visits', 'int_parks')}
@@ -172,3 +183,33 @@ def _(t: Tables) -> DataFrame:
     listed = F.when(F.col("p_name").startswith("small"), F.concat(F.lit("tiny "), "p_name")).otherwise(F.col("p_name"))
     catalog = t.part.select(F.col("p_brand").alias("entity"), listed.alias("column_name"))
     return q.entity_conformance(columns, catalog, "Brand#7")
+
+
+# --- streamed freshness
+
+def new_folder(t: Tables) -> str:
+    return f"{shared_dir(t.spark)}/freshness/{uuid.uuid4().hex}"
+
+
+@query("streamed_freshness", "K16", FRESHNESS_SQL)
+def _(t: Tables) -> DataFrame:
+    root, tables = new_folder(t), {}
+    for name, (df, column, warn, error) in freshness_tables(t).items():
+        streaming.announce(df, column, f"{root}/{name}/in")
+        streaming.watch(streaming.read_arrivals(t.spark, f"{root}/{name}/in"), f"{root}/{name}")
+        tables[name] = (f"{root}/{name}", warn, error)
+    return streaming.streamed_freshness(t.spark, tables, AS_OF)
+
+
+@query("streamed_arrivals_per_day", "K16", """
+    select date_trunc('day', ts)::timestamp as window_start, count(*) as n_rows, date_trunc('second', max(ts))::timestamp as loaded_at
+    from events where ts is not null group by 1""")
+def _(t: Tables) -> DataFrame:
+    root = new_folder(t)
+    events, column, _, _ = freshness_tables(t)["events"]
+    # two loads in the order of time, each taken in by a run of its own
+    half = F.col(column) < F.lit("2024-01-15").cast("timestamp_ntz")
+    for load in (events.where(half), events.where(~half)):
+        streaming.announce(load, column, f"{root}/in")
+        streaming.watch(streaming.read_arrivals(t.spark, f"{root}/in"), root)
+    return streaming.arrived(t.spark, root)
