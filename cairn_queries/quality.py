@@ -130,7 +130,7 @@ FRESHNESS_SQL = """
     from (select 'events' as table_name, date_trunc('second', max(ts)) as loaded_at, 24.0 as warn, 72.0 as error from events
           union all select 'orders', max(o_orderdate), 24.0, 72.0 from orders
           union all select 'lineitem', max(l_shipdate), 24.0, 1000000.0 from lineitem)"""
-AS_OF = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+AS_OF = "2024-02-01 00:00:00"
 
 
 def freshness_tables(t: Tables) -> dict:
@@ -141,7 +141,7 @@ def freshness_tables(t: Tables) -> dict:
 
 @query("source_freshness", "K16", FRESHNESS_SQL)
 def _(t: Tables) -> DataFrame:
-    return q.freshness(freshness_tables(t), AS_OF)
+    return q.freshness(freshness_tables(t), F.lit(AS_OF).cast("timestamp_ntz"))
 
 
 @query("check_orphan_parks", "K17", f"""{model_ctes('int_visits', 'int_parks')}
@@ -198,7 +198,7 @@ def _(t: Tables) -> DataFrame:
         streaming.announce(df, column, f"{root}/{name}/in")
         streaming.watch(streaming.read_arrivals(t.spark, f"{root}/{name}/in"), f"{root}/{name}")
         tables[name] = (f"{root}/{name}", warn, error)
-    return streaming.streamed_freshness(t.spark, tables, AS_OF)
+    return streaming.streamed_freshness(t.spark, tables, F.lit(AS_OF).cast("timestamp_ntz"))
 
 
 @query("streamed_arrivals_per_day", "K16", """

@@ -6,6 +6,9 @@ A selection by default; ``CAIRN_ALL=1`` runs every query.
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -47,3 +50,8 @@ def test_every_query_has_sql():
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_queries_are_listed_without_a_session():
+    listed = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", listed], cwd=Path(__file__).resolve().parents[1], check=True, timeout=120)
