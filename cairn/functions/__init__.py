@@ -39,6 +39,7 @@ from cairn.functions.text import (
     json_fields_guarded,
     json_text,
     json_text_guarded,
+    json_whole,
     marker_count,
     null_if,
     split_account,
@@ -63,6 +64,7 @@ __all__ = [
     "json_fields_guarded",
     "json_text",
     "json_text_guarded",
+    "json_whole",
     "label_map",
     "marker_count",
     "month_date",

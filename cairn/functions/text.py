@@ -60,29 +60,32 @@ def json_text(c: Column | str, path: str) -> Column:
     return F.get_json_object(as_column(c, "json_text"), path)
 
 
-def json_text_guarded(c: Column | str, path: str) -> Column:
-    """Text at a JSON path, NULL for the whole of any malformed document.
+def json_whole(c: Column | str) -> Column:
+    """The document if it is well formed and nothing follows it, else NULL.
 
     ``get_json_object`` stops reading after the first value, so ``{"a":1} x`` would
-    still give 1. Read inside brackets *and* inside an object, trailing text of any
-    kind breaks one of the two, and the value is NULL.
+    still give 1. The document is read as the first element of an array whose second is
+    the document's own hash: text behind the document of any kind breaks the array, or
+    something else comes second. Names in single quotes are read, as Spark's functions do.
     """
-    c = as_column(c, "json_text_guarded")
-    whole = F.get_json_object(F.concat(F.lit('{"d":'), c, F.lit("}")), "$.d")
-    inner = F.get_json_object(F.concat(F.lit("["), c, F.lit("]")), "$[0]" + path.removeprefix("$"))
-    return F.when(whole.isNotNull(), inner)
+    c = as_column(c, "json_whole")
+    tail = F.xxhash64(c).cast("string")
+    second = F.get_json_object(F.concat(F.lit("["), c, F.lit(","), tail, F.lit("]")), "$[1]")
+    return F.when(second == tail, c)
+
+
+def json_text_guarded(c: Column | str, path: str) -> Column:
+    """Text at a JSON path, NULL for the whole of any malformed document."""
+    return F.get_json_object(json_whole(as_column(c, "json_text_guarded")), path)
 
 
 def json_fields_guarded(c: Column | str, *names: str) -> dict[str, Column]:
-    """Texts of top-level fields, NULL for all of any malformed document, from one parse.
+    """Texts of top-level fields, NULL for all of any malformed document.
 
-    The same values as :func:`json_text_guarded`, except that of a repeated field the last counts. The document is read as the only
-    element of an array inside an object, which text behind it of any kind breaks.
+    The document is judged once for all fields of a projection, and a field that is not
+    asked for later costs nothing. Of a repeated field the first counts.
     """
-    c = as_column(c, "json_fields_guarded")
-    fields = ", ".join(f"`{n}` string" for n in names)
-    whole = F.from_json(F.concat(F.lit('{"d":['), c, F.lit("]}")), f"d array<struct<{fields.replace('` ', '`: ')}>>")["d"]
-    return {n: F.when(F.size(whole) == 1, F.get(whole, F.lit(0))[n]) for n in names}
+    return {n: json_text_guarded(c, f"$['{n}']") for n in names}
 
 
 def marker_count(c: Column | str, marker: str) -> Column:

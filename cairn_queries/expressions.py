@@ -163,13 +163,15 @@ def _(t: Tables) -> DataFrame:
     select event_id, cast(json_extract_string(if(json_valid(doc), doc, '{}'), '$.k') as integer) as k
     from (select event_id, case when event_id % 20 = 0 then substr(props, 1, 5)
                                 when event_id % 20 = 1 then props || ' x' when event_id % 20 = 2 then props || ',{}'
-                                when event_id % 20 = 3 then props || '}' when event_id % 20 = 4 then props || '] x' else props end as doc
+                                when event_id % 20 = 3 then props || '}' when event_id % 20 = 4 then props || '] x'
+                                when event_id % 20 = 5 then props || ']}' when event_id % 20 = 6 then props || ',"x":2' else props end as doc
           from events)""")
 def _(t: Tables) -> DataFrame:
     r = F.col("event_id") % 20
     doc = (F.when(r == 0, F.substring("props", 1, 5)).when(r == 1, F.concat("props", F.lit(" x")))
            .when(r == 2, F.concat("props", F.lit(",{}"))).when(r == 3, F.concat("props", F.lit("}")))
-           .when(r == 4, F.concat("props", F.lit("] x"))).otherwise(F.col("props")))
+           .when(r == 4, F.concat("props", F.lit("] x"))).when(r == 5, F.concat("props", F.lit("]}")))
+           .when(r == 6, F.concat("props", F.lit(',"x":2'))).otherwise(F.col("props")))
     return t.events.select("event_id", fn.json_text_guarded(doc, "$.k").cast("int").alias("k"))
 
 

@@ -419,16 +419,12 @@ def raw_sql(name: str) -> str:
     return " union all ".join(parts)
 
 
-# Schema and split of a table's file, asked once per application and path.
-_KNOWN: dict[tuple[str, str], tuple[StructType, bool]] = {}
+# Schema of a table's file, asked once per application and path.
+_KNOWN: dict[tuple[str, str], StructType] = {}
 
 
 class Tables:
-    """Driver tables and derived source tables of one scale folder.
-
-    The tables come as one file each, mostly with one row group, so rows of the larger
-    ones are dealt out over the task slots.
-    """
+    """Driver tables and derived source tables of one scale folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
