@@ -26,15 +26,24 @@ PII_PATTERNS = {
     "PHONE_NUMBER": r"\b[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}\b",
 }
 REDACTED = "[REDACTED]"
-# Characters without which a pattern cannot match: a plain search spares most rows the pattern.
-NEEDED = {"EMAIL_ADDRESS": "@", "US_SSN": "-"}
+# What any match of a pattern contains: cheaper searches, which spare most rows the pattern. The search for a digit is
+# shared by its kinds, and patterns without their word bounds are found several times faster than with them.
+NEEDED = {
+    "EMAIL_ADDRESS": lambda c: c.contains("@"),
+    "US_SSN": lambda c: c.contains("-"),
+}
+
+
+def _needed(c: Column, kind: str) -> Column:
+    if kind in NEEDED:
+        return NEEDED[kind](c)
+    return c.rlike("[0-9]") & c.rlike(PII_PATTERNS[kind].replace(r"\b", ""))
 
 
 def holds(c: Column | str, kind: str) -> Column:
     """Does a text contain personal data of a kind?"""
     c = F.col(c) if isinstance(c, str) else c
-    match = c.rlike(PII_PATTERNS[kind])
-    return c.contains(NEEDED[kind]) & match if kind in NEEDED else match
+    return _needed(c, kind) & c.rlike(PII_PATTERNS[kind])
 
 
 def luhn(digits: Column) -> Column:

@@ -291,3 +291,11 @@ def test_description_scores_equal_those_of_all_tokens(spark):
             if k := len(found & set(asked)):
                 want[c, e] = round(k / len(asked) * catalog.DESCRIPTION_FACTOR, 3)
     assert {(r.concept, r.entity): r.description_score for r in catalog.description_match(concepts, df).collect()} == want
+
+
+def test_cheap_searches_spare_no_match(spark):
+    texts = ["1.2.3.4", "x1.2.3.4", "v1.2.3.4 10.0.0.1", "1234 5678-90123456", "a1234567890123456", "555-123-4567", "5551234567", "x555.123.4567y",
+             "123-45-6789", "١٢٣.4.5.6", "a@b.co", "a@b", "no digits", "", None, "1", "12.34.56", "1234567890123456789"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind, pattern in pii.PII_PATTERNS.items():
+        assert df.where(~pii.holds("t", kind).eqNullSafe(F.col("t").rlike(pattern))).count() == 0
