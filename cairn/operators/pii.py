@@ -34,16 +34,18 @@ NEEDED = {
 }
 
 
-def _needed(c: Column, kind: str) -> Column:
-    if kind in NEEDED:
-        return NEEDED[kind](c)
-    return c.rlike("[0-9]") & c.rlike(PII_PATTERNS[kind].replace(r"\b", ""))
+def has_digit(c: Column) -> Column:
+    return c.rlike("[0-9]")
 
 
-def holds(c: Column | str, kind: str) -> Column:
-    """Does a text contain personal data of a kind?"""
+def holds(c: Column | str, kind: str, digit: Column | None = None) -> Column:
+    """Does a text contain personal data of a kind? ``digit`` tells whether it can hold a digit, where that is known."""
     c = F.col(c) if isinstance(c, str) else c
-    return _needed(c, kind) & c.rlike(PII_PATTERNS[kind])
+    if kind in NEEDED:
+        needed = NEEDED[kind](c)
+    else:
+        needed = (has_digit(c) if digit is None else digit) & c.rlike(PII_PATTERNS[kind].replace(r"\b", ""))
+    return needed & c.rlike(PII_PATTERNS[kind])
 
 
 def luhn(digits: Column) -> Column:
@@ -112,11 +114,13 @@ def redact(df: DataFrame, columns: Iterable[str], validated: bool = False) -> Da
     fail the check of their kind are left as they are.
     """
     masked = [c for c in dict.fromkeys(columns) if c in df.columns]
-    out = df.withColumns({f"__m_{c}": F.col(c).cast("string") for c in masked}) if masked else df
+    # masking adds no digit, so a text without one needs no further search
+    out = df.withColumns({f"__m_{c}": F.col(c).cast("string") for c in masked}
+                         | {f"__d_{c}": has_digit(F.col(c).cast("string")) for c in masked}) if masked else df
     for kind in PII_PATTERNS:
         # one step per kind, so each text is rewritten only when it holds the kind
         out = out.withColumns({
-            f"__m_{c}": F.when(holds(f"__m_{c}", kind), _masked(f"__m_{c}", kind, validated))
+            f"__m_{c}": F.when(holds(f"__m_{c}", kind, F.col(f"__d_{c}")), _masked(f"__m_{c}", kind, validated))
             .otherwise(F.col(f"__m_{c}")) for c in masked}) if masked else out
     return out.select(*[
         F.when(F.col(f"__m_{c}") == F.col(c).cast("string"), REDACTED).otherwise(F.col(f"__m_{c}")).alias(c)
