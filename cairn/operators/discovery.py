@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from itertools import batched, combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 # Shares from which a column may take part in a key, and from which a
 # combination is accepted; growth that counts as fan-out.
@@ -14,6 +16,8 @@ ELIGIBLE, ACCEPTED = 0.5, 0.99
 FAN_OUT = 1.05
 # combinations counted in one job; all are tried, in as many jobs as that takes
 BATCH = 16
+# rows of one value go to one task as long as they are this part of the rows at most, or this many
+CROWD, LEAST_CROWD = 1_000, 1_000
 # sketches merged in one scan, their size (2^k registers), and how far the true count can lie above an estimate: five
 # standard errors of 1.04 / sqrt(registers)
 SKETCHES, REGISTERS_LOG2 = 100, 14
@@ -22,25 +26,84 @@ MARGIN = 5 * 1.04 / 2 ** (REGISTERS_LOG2 / 2)
 Combo = tuple[str, ...]
 
 
-def _distinct_counts(df: DataFrame, combos: Sequence[Combo]) -> tuple[int, dict[Combo, int]]:
-    """Row count and distinct non-NULL combinations, ``BATCH`` combinations per job.
+def _exact(df: DataFrame, column: str) -> bool:
+    """Whether equal values of the column are equal as text too, and fit a long."""
+    return df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long", "boolean", "date")
 
-    Every row gives a 16-byte digest of its key parts per combination (none where a part is
-    NULL); counting distinct digests per combination then is a two-step aggregate that
-    spreads over all keys. Collected is one row per combination.
+
+def _part(df: DataFrame, column: str) -> Column:
+    """What is compared of a column: whole numbers, dates and booleans as they are, others as text."""
+    return F.col(column) if _exact(df, column) or isinstance(df.schema[column].dataType, DecimalType) else F.col(column).cast("string")
+
+
+def _marks(df: DataFrame, column: str) -> list[Column]:
+    """Longs that are equal only where the parts are: the value itself, or 128 bits of its text's hashes (NULL stays NULL)."""
+    if df.schema[column].dataType.typeName() == "date":
+        return [F.unix_date(column).cast("bigint")]
+    if _exact(df, column):
+        return [F.col(column).cast("bigint")]
+    part = _part(df, column)
+    return [F.when(part.isNotNull(), F.xxhash64(part)), F.when(part.isNotNull(), F.xxhash64(F.lit(1), part))]
+
+
+def _collected(frames: Iterable[DataFrame]) -> list[Row]:
+    """The rows of small frames, ``BATCH`` frames per job."""
+    return [row for batch in batched(frames, BATCH) for row in reduce(DataFrame.unionAll, batch).collect()]
+
+
+def _keyed(df: DataFrame, combo: Combo, *more: Column) -> DataFrame:
+    """The parts of a combination as ``k0, k1, ...``, without rows where one is NULL."""
+    names = [f"k{i}" for i in range(len(combo))]
+    return df.select(*[_part(df, c).alias(k) for c, k in zip(combo, names)], *more).where(
+        reduce(Column.__and__, [F.col(k).isNotNull() for k in names]))
+
+
+def _distinct_counts(df: DataFrame, combos: Sequence[Combo]) -> dict[Combo, tuple[int, int]]:
+    """Distinct non-NULL values of each combination, and the rows of its most frequent value.
+
+    Every combination is a two-step aggregate over its own values, which spreads over all keys. Collected is one row per
+    combination.
+    """
+    def tally(i: int, combo: Combo) -> DataFrame:
+        keys = [f"k{j}" for j in range(len(combo))]
+        return _keyed(df, combo).groupBy(*keys).agg(F.count("*").alias("n")).agg(
+            F.lit(i).alias("combo"), F.count("*").alias("distinct"), F.coalesce(F.max("n"), F.lit(0)).alias("most"))
+
+    return {combos[r["combo"]]: (r["distinct"], r["most"]) for r in _collected(tally(i, c) for i, c in enumerate(combos))}
+
+
+def _joint_counts(df: DataFrame, combos: Sequence[Combo], total: int, most: Mapping[str, int]) -> dict[Combo, int]:
+    """Distinct non-NULL values of combinations of two or more columns; ``most`` has the rows of each column's most frequent value.
+
+    All combinations that differ in their last column only share one grouping by the others: each row crosses the network
+    once for them. A group in which a last column has at most one value, or that has two rows, shows its distinct values by
+    the smallest and the largest. Combinations with any other group, and those whose groups would be large, are counted
+    one by one.
     """
-    total, distinct = df.count(), dict.fromkeys(combos, 0)
-    for batch in batched(combos, BATCH):
-        keys = F.array(*[
-            F.struct(F.lit(i).alias("combo"), F.when(
-                F.forall(F.array(*[F.col(c).isNotNull() for c in combo]), lambda x: x),
-                F.unhex(F.md5(F.to_json(F.array(*[F.col(c).cast("string") for c in combo]))))).alias("key"))
-            for i, combo in enumerate(batch)])
-        counts = (df.select(F.explode(keys).alias("k")).select("k.*").where("key is not null")
-                  .groupBy("combo", "key").agg(F.lit(1).alias("one"))
-                  .groupBy("combo").agg(F.count("*").alias("distinct")).collect())
-        distinct |= {batch[r["combo"]]: r["distinct"] for r in counts}
-    return total, distinct
+    order = {combo: sorted(combo, key=lambda c: most[c]) for combo in combos}
+    lasts: dict[Combo, list[Combo]] = {}
+    for combo, columns in order.items():
+        if most[columns[0]] <= max(LEAST_CROWD, total // CROWD):
+            lasts.setdefault(tuple(columns[:-1]), []).append(combo)
+    groups = [(lead, part) for lead, found in lasts.items() for part in batched(found, BATCH)]
+
+    def tally(i: int, lead: Combo, part: Sequence[Combo]) -> DataFrame:
+        keys = [f"k{j}" for j in range(len(lead))]
+        marks = [[(f"m{j}_{h}", mark) for h, mark in enumerate(_marks(df, order[c][-1]))] for j, c in enumerate(part)]
+        rows = _keyed(df, lead, *[mark.alias(m) for pairs in marks for m, mark in pairs]).repartition(*keys)
+        each = rows.groupBy(*keys).agg(F.count("*").alias("n"), *[
+            f(m).alias(f"{name}_{m}") for pairs in marks for m, _ in pairs for name, f in (("lo", F.min), ("hi", F.max))])
+        seen = [F.when(F.col(f"lo_{pairs[0][0]}").isNull(), 0)
+                .when(reduce(Column.__and__, [F.col(f"lo_{m}") == F.col(f"hi_{m}") for m, _ in pairs]), 1)
+                .when(F.col("n") == 2, 2) for pairs in marks]
+        return each.agg(F.lit(i).alias("group"), F.array(*[F.coalesce(F.sum(s), F.lit(0)) for s in seen]).alias("distinct"),
+                        F.array(*[F.count_if(s.isNull()) for s in seen]).alias("open"))
+
+    counts: dict[Combo, int] = {}
+    for row in _collected(tally(i, *group) for i, group in enumerate(groups)):
+        counts |= {c: n for c, n, left in zip(groups[row["group"]][1], row["distinct"], row["open"]) if not left}
+    rest = [c for c in combos if c not in counts]
+    return counts | {c: n for c, (n, _) in _distinct_counts(df, rest).items()}
 
 
 def candidate_keys(df: DataFrame, elig: float = ELIGIBLE, cand: float = ACCEPTED,
@@ -52,16 +115,17 @@ def candidate_keys(df: DataFrame, elig: float = ELIGIBLE, cand: float = ACCEPTED
     key do not count. Only one count per combination reaches the driver.
     """
     found: list[tuple[list[str], float]] = []
-    total, singles = _distinct_counts(df, [(c,) for c in (columns or df.columns)])
+    total = df.count()
     if total:
-        eligible = [c for (c,), n in sorted(
-            singles.items(), key=lambda e: df.columns.index(e[0][0])) if n / total >= elig]
-        found += [([c], singles[(c,)] / total) for c in eligible]
+        singles = {c: n for (c,), n in _distinct_counts(df, [(c,) for c in (columns or df.columns)]).items()}
+        eligible = [c for c, (n, _) in sorted(
+            singles.items(), key=lambda e: df.columns.index(e[0])) if n / total >= elig]
+        found += [([c], singles[c][0] / total) for c in eligible]
         for size in (2, 3):
             combos = list(combinations(eligible, size))
             if not combos or any(ratio >= cand for _, ratio in found):
                 break
-            _, counts = _distinct_counts(df, combos)
+            counts = _joint_counts(df, combos, total, {c: singles[c][1] for c in eligible})
             found += [(list(c), counts[c] / total) for c in combos]
     found.sort(key=lambda e: -e[1])
     return df.sparkSession.createDataFrame(
@@ -96,8 +160,7 @@ def accepted_keys(df: DataFrame, elig: float = ELIGIBLE, cand: float = ACCEPTED,
         near = [c for c in combos if total and bounds[c] >= least * total]
         if counted is not None:
             counted[len(combos[0])] = (len(combos), len(near))
-        exact = _distinct_counts(df, near)[1] if near else {}
-        return {c: n / total for c, n in exact.items() if n / total >= least}
+        return {c: n / total for c, (n, _) in _distinct_counts(df, near).items() if n / total >= least}
 
     singles = shares([(c,) for c in (columns or df.columns)], elig)
     found = {c: r for c, r in singles.items() if r >= cand}

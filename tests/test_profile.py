@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from itertools import combinations
 
 import pytest
@@ -121,6 +122,32 @@ def test_candidate_keys_match_brute_force(spark, data):
     assert [r[2] for r in found] == sorted((r[2] for r in found), reverse=True)
 
 
+def counted_one_by_one(monkeypatch):
+    seen, count = [], discovery._distinct_counts
+    monkeypatch.setattr(discovery, "_distinct_counts", lambda df, combos: (seen.extend(combos), count(df, combos))[1])
+    return seen
+
+
+def test_pairs_share_one_grouping_per_column(spark, monkeypatch):
+    names, data = list("abcd"), [(i // 2, (i + 1) // 2, i if i % 3 else i - i % 2, None if i % 7 == 0 else i // 2) for i in range(60)]
+    seen = counted_one_by_one(monkeypatch)
+    found = discovery.candidate_keys(spark.createDataFrame(data, names), 0.4, 1.1, names).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == brute_force_keys(data, names, 0.4, 1.1)
+    assert max(map(len, seen)) == 1
+
+
+@pytest.mark.parametrize("crowd", [1_000, 0])
+def test_large_groups_are_counted_one_by_one(spark, monkeypatch, crowd):
+    start = datetime.date(2020, 1, 1)
+    data = [(f"s{i * 7 % 25}", i * 3 % 29 + 0.5, start + datetime.timedelta(i * 11 % 23), None if i % 9 == 0 else i * 5 % 31, None if i < 20 else f"t{i}")
+            for i in range(40)]
+    monkeypatch.setattr(discovery, "LEAST_CROWD", crowd)
+    seen, names = counted_one_by_one(monkeypatch), list("abcde")
+    found = discovery.candidate_keys(spark.createDataFrame(data, "a string, b double, c date, d int, e string"), 0.5, 1.1).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == brute_force_keys(data, names, 0.5, 1.1)
+    assert len(found) == 25 and (sum(len(c) > 1 for c in seen) == 20) == (crowd == 0)
+
+
 def test_no_keys_in_empty_table(spark):
     assert discovery.candidate_keys(spark.createDataFrame([], "a int")).count() == 0
 
