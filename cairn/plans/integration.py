@@ -20,7 +20,7 @@ from cairn.functions import (
 )
 from cairn.operators.dedup import golden_record
 from cairn.operators.filters import live_rows
-from cairn.operators.joins import left_lookup, lookup_first, lookup_on
+from cairn.operators.joins import attach_to_keys, left_lookup, lookup_first, lookup_on
 from cairn.operators.projection import keep_and_add
 from cairn.operators.reshape import union_conformed
 from cairn.plans.codes import SystemCodes
@@ -158,17 +158,26 @@ def int_visits(linked: DataFrame) -> DataFrame:
 def int_financial_transactions(ledger: DataFrame, accounts: DataFrame, awards: DataFrame,
                                award_budget: DataFrame, codes: SystemCodes = SystemCodes()
                                ) -> DataFrame:
-    """Ledger entries with account labels, the latest award of the fund and its budget."""
+    """Ledger entries with account labels, the latest award of the fund and its budget.
+
+    Labels, award and its budgets of all years meet once per account and fund code of the
+    ledger, so that the wide entries are shuffled once, not for every lookup.
+    """
+    budgets = F.struct("fiscal_year", "budgeted_amount", "actual_amount")
+    yearly = award_budget.groupBy("award_id").agg(F.collect_list(budgets).alias("__budgets"))
     labelled = left_lookup(
-        ledger, accounts, ["account_id"],
+        ledger.select("account_id", "account_fund_code").distinct(), accounts, ["account_id"],
         ["fund_description", "division_description", "program_description", "object_description"])
     awarded = lookup_first(
-        labelled, awards, {"account_fund_code": "sgf_appropriation_code"},
+        labelled, left_lookup(awards, yearly, ["award_id"], ["__budgets"]),
+        {"account_fund_code": "sgf_appropriation_code"},
         [F.desc_nulls_last("performance_end"), F.asc_nulls_last("award_id")],
         ["award_id", "award_number", "award_amount", "required_match_percentage",
-         "performance_start", "performance_end"])
-    budgeted = left_lookup(
-        awarded, award_budget, ["award_id", "fiscal_year"], ["budgeted_amount", "actual_amount"])
+         "performance_start", "performance_end", "__budgets"])
+    linked = attach_to_keys(ledger, [awarded], ["account_id", "account_fund_code"], null_safe=True)
+    of_year = F.filter("__budgets", lambda b: b["fiscal_year"] == F.col("fiscal_year"))
+    budgeted = linked.withColumn("__budget", F.explode_outer(of_year)).select(
+        "*", "__budget.budgeted_amount", "__budget.actual_amount")
     return budgeted.select(
         surrogate_key("gl_entry_id").alias("financials_sk"),
         "gl_entry_id", "fiscal_year", "accounting_month", "entry_type", "amount", "account_id",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +132,52 @@ def test_crosswalk_age_uses_as_of(spark, small):
     df = build_staging("base_vistareserve__asset_crosswalks", small.load, F.lit("2015-01-03").cast("date"))
     first = df.where(F.col("last_verified_date") == D(2015, 1, 2)).first()
     assert first is None or first.days_since_last_update == 1
+
+
+# --- the ledger and its lookups
+
+LEDGER = "gl_entry_id string, account_id string, account_fund_code string, fiscal_year int, entry_type string, amount int, accounting_month int"
+
+
+def ledger_frames(spark):
+    entries = [(f"g{i}", a, f, y, "Revenue" if i % 5 == 0 else "Expenditure", 10 + i % 3, 1 + i % 12) for i, (a, f, y) in enumerate(
+        (a, f, y) for a in ("a1", "a2", "a3", None) for f in ("100", "200", "300", None) for y in (2020, 2021, None))]
+    ledger = spark.createDataFrame(entries, LEDGER).withColumns(
+        {c: F.lit(c) for c in ("account_division_code", "account_program_code", "account_object_code", "batch_reference", "batch_detail_text")}
+        | {"batch_entry_count": F.lit(1)})
+    accounts = spark.createDataFrame([("a1", "one"), ("a1", "uno"), ("a2", "two"), (None, "none")], "account_id string, fund_description string").withColumns(
+        {f"{c}_description": F.concat(F.lit(c), "fund_description") for c in ("division", "program", "object")})
+    awards = spark.createDataFrame([("w1", "100", "2024-01-01"), ("w2", "100", None), ("w4", "200", None), ("w3", "200", None), ("w5", None, "2024-01-01")],
+                                   "award_id string, sgf_appropriation_code string, ends string").select(
+        "award_id", "sgf_appropriation_code", F.col("award_id").alias("award_number"), F.lit(5).alias("award_amount"),
+        F.lit(7).alias("required_match_percentage"), F.lit(None).cast("date").alias("performance_start"), F.to_date("ends").alias("performance_end"))
+    budget = spark.createDataFrame([("w1", 2020, 1, 2), ("w1", 2020, 3, 4), ("w1", 2021, 5, None), ("w1", None, 6, 6), ("w3", 2022, 7, 7), ("w4", 2020, 8, 8), (None, 2020, 9, 9)],
+                                   "award_id string, fiscal_year int, budgeted_amount int, actual_amount int")
+    return ledger, accounts, awards, budget
+
+
+def shuffles_with(spark, column, build):
+    """How many exchanges carry a column where nothing is broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = build()._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return len(re.findall(r"\) Exchange\nInput \[\d+\]: \[[^\]]*\b" + column + "#", plan))
+
+
+def test_ledger_lookups_match_plain_joins(spark, rows):
+    ledger, accounts, awards, budget = ledger_frames(spark)
+    plain = spark.sql("""
+        with w as (select * from (select *, row_number() over (partition by sgf_appropriation_code order by performance_end desc nulls last, award_id) as n from {awards}) where n = 1)
+        select g.gl_entry_id, c.object_description, w.award_id, w.performance_end, b.budgeted_amount, b.actual_amount from {ledger} g
+        left join {accounts} c on c.account_id = g.account_id left join w on w.sgf_appropriation_code = g.account_fund_code
+        left join {budget} b on b.award_id = w.award_id and b.fiscal_year = g.fiscal_year""", ledger=ledger, accounts=accounts, awards=awards, budget=budget)
+    got = i.int_financial_transactions(ledger, accounts, awards, budget)
+    assert rows(got, "gl_entry_id", "object_description", "award_id", "performance_end", "award_fiscal_year_budget", "award_fiscal_year_actual") == rows(plain)
+    twice = ledger.unionAll(ledger)
+    assert i.int_financial_transactions(twice, accounts, awards, budget).count() == 2 * plain.count()
+
+
+def test_ledger_entries_are_shuffled_once(spark):
+    assert shuffles_with(spark, "gl_entry_id", lambda: i.int_financial_transactions(*ledger_frames(spark))) == 1
