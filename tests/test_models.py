@@ -181,3 +181,8 @@ def test_ledger_lookups_match_plain_joins(spark, rows):
 
 def test_ledger_entries_are_shuffled_once(spark):
     assert shuffles_with(spark, "gl_entry_id", lambda: i.int_financial_transactions(*ledger_frames(spark))) == 1
+
+
+def test_expenditures_are_shuffled_for_labels_and_vendor_only(spark):
+    paid = spark.createDataFrame([("a1", 10, "v1")], "account_id string, amount int, vendor_id string")
+    assert shuffles_with(spark, "gl_entry_id", lambda: m.fct_expenditures(i.int_financial_transactions(*ledger_frames(spark)), paid)) == 2
