@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,17 +25,23 @@ def item_pattern(sep: str) -> str:
 
 
 def items(text: Column, sep: str) -> Column:
-    """Array of ``value, malformed``; NULL and empty texts have no items."""
+    """Array of ``value, malformed``; NULL and empty texts have no items.
+
+    A text without a quote is cut at the separators; only the others need the patterns.
+    """
     s = re.escape(sep)
-    whole = F.when(F.length(text) > 0, F.regexp_extract_all(F.concat(F.lit(sep), text), F.lit(item_pattern(sep)), F.lit(0)))
 
     def read(item: Column) -> Column:
         body = F.trim(F.when(item.startswith(sep), F.substring(item, 2, 1_000_000_000)).otherwise(item))
-        quoted, plain = item.rlike(f"^{s}{QUOTED}$"), item.rlike(f'^{s}[^"{s}]*$')
+        holds_quote = F.contains(item, F.lit('"'))
+        quoted, plain = holds_quote & item.rlike(f"^{s}{QUOTED}$"), ~holds_quote & item.startswith(sep)
         inner = F.replace(F.substr(body, F.lit(2), F.length(body) - 2), F.lit('""'), F.lit('"'))
         return F.struct(F.when(quoted, inner).otherwise(body).alias("value"), (~(quoted | plain)).alias("malformed"))
 
-    return F.transform(F.coalesce(whole, F.array().cast("array<string>")), read)
+    matched = F.transform(F.regexp_extract_all(F.concat(F.lit(sep), text), F.lit(item_pattern(sep)), F.lit(0)), read)
+    cut = F.transform(F.split(text, s, -1), lambda item: F.struct(F.trim(item).alias("value"), F.lit(False).alias("malformed")))
+    none = F.array().cast("array<struct<value:string,malformed:boolean>>")
+    return F.when(F.length(text) > 0, F.when(F.contains(text, F.lit('"')), matched).otherwise(cut)).otherwise(none)
 
 
 def unpack_list(df: DataFrame, column: str, keep: Sequence[str], sep: str = ",") -> DataFrame:
@@ -49,15 +56,21 @@ def unpack_records(df: DataFrame, column: str, keep: Sequence[str], fields: Sequ
     A record is malformed when an item of it is, or when the text ends before its last field; the missing fields are NULL.
     """
     width = len(fields)
-    found = items(F.col(column), sep)
-    closed = (F.size(found) % width == 1) & (F.element_at(found, -1)["value"] == "") if width > 1 else F.lit(False)
-    whole = F.when(F.size(found) == 0, found).when(closed, F.slice(found, F.lit(1), F.size(found) - 1)).otherwise(found)
-    starts = F.when(F.size("__all") > 0, F.sequence(F.lit(0), F.floor((F.size("__all") - 1) / width).cast("int")))
-    record = F.transform(starts, lambda i: F.slice("__all", i * width + 1, F.lit(width)))
-    rows = df.select(*keep, whole.alias("__all")).select(*keep, F.posexplode(record).alias("__at", "__record"))
-    return rows.select(
-        *keep, (F.col("__at") + 1).alias("position"), *[F.get("__record", F.lit(i))["value"].alias(f) for i, f in enumerate(fields)],
-        ((F.size("__record") < width) | F.exists("__record", lambda x: x["malformed"])).alias("malformed"))
+    # the items are a column of their own: they are named often and must be found once
+    listed = df.select(*keep, items(F.col(column), sep).alias("__all"))
+    size = F.size("__all")
+    closed = (size % width == 1) & (F.get("__all", size - 1)["value"] == "") if width > 1 else F.lit(False)
+    n = size - closed.cast("int")
+
+    def record(i: Column) -> Column:
+        parts = [F.get("__all", i * width + j) for j in range(width)]
+        short = (i + 1) * width > n
+        return F.struct(*[part["value"].alias(f) for part, f in zip(parts, fields)], reduce(
+            Column.__or__, [F.coalesce(part["malformed"], F.lit(False)) for part in parts], short).alias("malformed"))
+
+    starts = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")))
+    rows = listed.select(*keep, F.posexplode(F.transform(starts, record)).alias("__at", "__record"))
+    return rows.select(*keep, (F.col("__at") + 1).alias("position"), "__record.*")
 
 
 def reconcile(parents: DataFrame, records: DataFrame, key: str, total: str, part: str) -> DataFrame:

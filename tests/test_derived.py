@@ -7,8 +7,9 @@ import datetime as dt
 import difflib
 import json
 import random
+import re
 from collections import defaultdict
-from itertools import combinations
+from itertools import combinations, groupby
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,6 +173,32 @@ def test_records_and_reconciliation(spark):
     assert sums == {1: (2, 0, 0.0), 2: (2, 1, 2.0), 3: (1, 0, 2.5), 4: (0, 0, 3.5), 5: (1, 0, -5.5), 6: (1, 0, 3.5)}
 
 
+def test_patterns_are_for_quoted_texts_only(spark):
+    random.seed(7)
+    parts = ["a", " b ", "", " ", "\n", "é", "|", "|", '"c"', ' "d | e" ', '"f ""g"""', '"open', "x\"", "\t"]
+    texts = ["".join(random.choice(parts[:8] if n % 2 else parts) for _ in range(random.randint(0, 9))) for n in range(400)] + [None, "", "|", "\n", '"']
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, xs string")
+    expected = []
+    for k, text in enumerate(texts):
+        for n, x in enumerate(re.findall(lists.item_pattern("|"), "|" + text) if text else []):
+            body = (x[1:] if x.startswith("|") else x).strip(" ")
+            quoted, plain = re.search(rf"^\|{lists.QUOTED}$", x), re.search(r'^\|[^"|]*$', x)
+            expected.append((k, n + 1, body[1:-1].replace('""', '"') if quoted else body, not (quoted or plain)))
+    assert sorted(tuple(r) for r in lists.unpack_list(df, "xs", ["k"], "|").collect()) == expected
+    # a text without a quote never meets the patterns, and each text is read once
+    records = lists.unpack_records(df, "xs", ["k"], ["a", "b", "c"], "|")
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "Contains(xs#" in plan and "slice(" not in plan
+    every = []
+    for k, found in groupby(expected, key=lambda x: x[0]):
+        found = [x[2:] for x in found]
+        found = found[:-1] if len(found) % 3 == 1 and found[-1][0] == "" else found
+        for at in range(0, len(found), 3):
+            three = found[at:at + 3]
+            every.append((k, at // 3 + 1, *([v for v, _ in three] + [None] * 2)[:3], len(three) < 3 or any(bad for _, bad in three)))
+    assert [tuple(r) for r in records.sort("k", "position").collect()] == every
+
+
 def twelve_columns(spark):
     df = spark.range(4000)
     bit = lambda i: F.floor(F.col("id") / 2**i) % 2
