@@ -167,9 +167,10 @@ def orphans(child: DataFrame, parent: DataFrame, on: Mapping[str, str] | Sequenc
 def match_on_value(df: DataFrame, other: DataFrame, keys: Sequence[str], pick: str) -> DataFrame:
     """Attach ``max(pick)`` of the other frame's rows that agree in all ``keys``.
 
-    The other side is aggregated first, so the join never multiplies rows.
+    The other side is aggregated first, so the join never multiplies rows. Its rows without
+    a ``pick`` change nothing and are left out before they are shuffled.
     """
-    picked = other.groupBy(*keys).agg(F.max(F.col(pick).cast("string")).alias(pick))
+    picked = other.where(F.col(pick).isNotNull()).groupBy(*keys).agg(F.max(F.col(pick).cast("string")).alias(pick))
     return left_lookup(df, picked, keys, [pick])
 
 

@@ -6,6 +6,8 @@ that feeds several marts should store them once with ``materialize(..., "table")
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,12 +158,15 @@ def int_visits(linked: DataFrame) -> DataFrame:
 
 
 def int_financial_transactions(ledger: DataFrame, accounts: DataFrame, awards: DataFrame,
-                               award_budget: DataFrame, codes: SystemCodes = SystemCodes()
+                               award_budget: DataFrame, codes: SystemCodes = SystemCodes(),
+                               keep: Sequence[str] = (), late: Mapping[str, Column] | None = None
                                ) -> DataFrame:
     """Ledger entries with account labels, the latest award of the fund and its budget.
 
     Labels, award and its budgets of all years meet once per account and fund code of the
-    ledger, so that the wide entries are shuffled once, not for every lookup.
+    ledger, so that the wide entries are shuffled once, not for every lookup. ``keep`` lists
+    further ledger columns to pass on; ``late`` are columns the ledger does not bring,
+    computed from its others behind that shuffle.
     """
     budgets = F.struct("fiscal_year", "budgeted_amount", "actual_amount")
     yearly = award_budget.groupBy("award_id").agg(F.collect_list(budgets).alias("__budgets"))
@@ -174,7 +179,8 @@ def int_financial_transactions(ledger: DataFrame, accounts: DataFrame, awards: D
         [F.desc_nulls_last("performance_end"), F.asc_nulls_last("award_id")],
         ["award_id", "award_number", "award_amount", "required_match_percentage",
          "performance_start", "performance_end", "__budgets"])
-    linked = attach_to_keys(ledger, [awarded], ["account_id", "account_fund_code"], null_safe=True)
+    linked = attach_to_keys(ledger, [awarded], ["account_id", "account_fund_code"], null_safe=True
+                            ).withColumns(dict(late or {}))
     of_year = F.filter("__budgets", lambda b: b["fiscal_year"] == F.col("fiscal_year"))
     budgeted = linked.withColumn("__budget", F.explode_outer(of_year)).select(
         "*", "__budget.budgeted_amount", "__budget.actual_amount")
@@ -188,7 +194,7 @@ def int_financial_transactions(ledger: DataFrame, accounts: DataFrame, awards: D
         "required_match_percentage", "performance_start", "performance_end",
         F.col("budgeted_amount").alias("award_fiscal_year_budget"),
         F.col("actual_amount").alias("award_fiscal_year_actual"),
-        source_tag(codes.finance).alias("source_system"),
+        source_tag(codes.finance).alias("source_system"), *keep,
     )
 
 

@@ -252,14 +252,23 @@ def fct_visitation(visits: DataFrame, visitor_counts: DataFrame,
 
 # --- finance
 
-def fct_expenditures(financials: DataFrame, payables: DataFrame) -> DataFrame:
+def expenditures_with_vendor(entries: DataFrame, payables: DataFrame) -> DataFrame:
+    """Expenditures among the entries, each with the probable vendor.
+
+    The vendor is the largest id among payables of the same account and amount.
+    """
+    spent = entries.where(F.col("entry_type") == "Expenditure")
+    return match_on_value(spent, payables, ["account_id", "amount"], "vendor_id")
+
+
+def fct_expenditures(financials: DataFrame, payables: DataFrame | None = None) -> DataFrame:
     """Ledger expenditure with the probable vendor.
 
-    The vendor is the largest id among payables of the same account and amount. Fiscal
-    year and accounting month are read as a calendar month.
+    Without ``payables`` the financials are expenditures that carry their vendor already:
+    matched before the labels are looked up, entries are shuffled narrow. Fiscal year and
+    accounting month are read as a calendar month.
     """
-    spent = financials.where(F.col("entry_type") == "Expenditure")
-    paired = match_on_value(spent, payables, ["account_id", "amount"], "vendor_id")
+    paired = financials if payables is None else expenditures_with_vendor(financials, payables)
     return paired.select(
         F.col("financials_sk").alias("expenditure_sk"),
         F.col("gl_entry_id").alias("source_record_id"),

@@ -8,11 +8,12 @@ is a frame of ``date_day`` for the calendar, ``as_of`` the day that ages are mea
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from cairn.functions import split_account
 from cairn.operators.quality import enforce_contract
 from cairn.plans import integration as i
 from cairn.plans import marts as m
@@ -82,13 +83,22 @@ class Warehouse:
     def int_visits(self) -> DataFrame:
         return i.int_visits(self.visits_linked)
 
+    @property
+    def _entries(self) -> DataFrame:
+        """The staged ledger without the parts of its account, which are split anew behind the shuffles."""
+        return self.staged("stg_stategov__general_ledger").drop(*split_account("account_id"))
+
+    def _financials(self, entries: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        parts = split_account("account_id")
+        fund = "account_fund_code"
+        return i.int_financial_transactions(
+            entries.withColumn(fund, parts.pop(fund)), self.staged("stg_stategov__chart_of_accounts"),
+            self.staged("stg_granttrack__active_awards"),
+            self.staged("stg_granttrack__award_budget_by_fiscal_year"), self.codes, keep, parts)
+
     @cached_property
     def int_financial_transactions(self) -> DataFrame:
-        return self._keep("int_financial_transactions", i.int_financial_transactions(
-            self.staged("stg_stategov__general_ledger"),
-            self.staged("stg_stategov__chart_of_accounts"),
-            self.staged("stg_granttrack__active_awards"),
-            self.staged("stg_granttrack__award_budget_by_fiscal_year"), self.codes))
+        return self._keep("int_financial_transactions", self._financials(self._entries))
 
     @cached_property
     def int_physical_assets(self) -> DataFrame:
@@ -188,8 +198,11 @@ class Warehouse:
 
     @cached_property
     def fct_expenditures(self) -> DataFrame:
-        return self._mart("fct_expenditures", m.fct_expenditures(
-            self.int_financial_transactions, self.staged("stg_stategov__accounts_payable")))
+        payables = self.staged("stg_stategov__accounts_payable")
+        if "int_financial_transactions" in self._store:  # labelled already, as written
+            return self._mart("fct_expenditures", m.fct_expenditures(self.int_financial_transactions, payables))
+        spent = m.expenditures_with_vendor(self._entries, payables)
+        return self._mart("fct_expenditures", m.fct_expenditures(self._financials(spent, ["vendor_id"])))
 
     @cached_property
     def fct_incidents_and_maintenance(self) -> DataFrame:

@@ -186,3 +186,49 @@ def test_ledger_entries_are_shuffled_once(spark):
 def test_expenditures_are_shuffled_for_labels_and_vendor_only(spark):
     paid = spark.createDataFrame([("a1", 10, "v1")], "account_id string, amount int, vendor_id string")
     assert shuffles_with(spark, "gl_entry_id", lambda: m.fct_expenditures(i.int_financial_transactions(*ledger_frames(spark)), paid)) == 2
+
+
+def finance_load(spark):
+    """Sources of the ledger's models, with rows that repeat and keys that are null."""
+    codes = ("100-DIV-D1-PRG-P1-OBJ-1", "200-DIV-D2-PRG-P2-OBJ-2", "odd", None)
+    entries = [(f"g{n % 20}", codes[n % 4], 2020 + n % 2, 1 + n % 12, "Revenue" if n % 5 == 0 else "Expenditure", None if n % 7 == 0 else n % 3) for n in range(40)]
+    budget = {f"fy{y}_{kind}": f"{y}.50" for y in range(2020, 2026) for kind in ("budgeted", "actual")}
+    tables = {
+        "general_ledger": spark.createDataFrame(entries, "gl_entry_id string, account_id string, fiscal_year int, accounting_month int, entry_type string, amount int"
+                                                ).withColumns({"batch_reference": F.lit("b"), "batch_detail_text": F.lit(None).cast("string")}),
+        "chart_of_accounts": spark.createDataFrame([(codes[0], "one"), (codes[0], "uno"), ("odd", "two"), (None, "none")], "account_id string, fund_description string").withColumns(
+            {c: F.col("fund_description") for c in ("fund_code", "division_code", "division_description", "program_code", "program_description", "object_code", "object_description")}),
+        "accounts_payable": spark.createDataFrame(
+            [(codes[0], 1, "v1"), (codes[0], 1, "v2"), (codes[0], 1, None), (codes[0], 2, None), ("odd", 2, "v3"), (None, 1, "v4"), ("odd", None, "v5"), (codes[1], 9, "v6")],
+            "account_id string, amount int, vendor_id string").withColumns({c: F.lit(None).cast("string") for c in ("invoice_id", "encumbrance_id", "invoice_date", "payment_date", "status")}),
+        "active_awards": spark.createDataFrame([("w1", "100", None), ("w2", "100", "2024-01-01"), ("w3", None, None)], "award_id string, sgf_appropriation_code string, performance_end string").withColumns(
+            {c: F.lit(None).cast("string") for c in ("application_id", "award_number", "required_match_percentage", "performance_start")} | {"award_amount": F.lit(5)}),
+        "award_budget_by_fiscal_year": spark.createDataFrame([{"award_id": "w2", "award_number": "n", "notes": "x"} | budget] * 2),
+    }
+    return lambda system, table: tables[table]
+
+
+def test_vendors_matched_before_or_after_the_labels_are_the_same(spark, rows):
+    w = Warehouse(spark, finance_load(spark), spark.range(0))
+    financials = i.int_financial_transactions(*[w.staged(f"stg_{name}") for name in (
+        "stategov__general_ledger", "stategov__chart_of_accounts", "granttrack__active_awards", "granttrack__award_budget_by_fiscal_year")])
+    assert rows(w.int_financial_transactions) == rows(financials) and w.int_financial_transactions.schema == financials.schema
+    after = m.fct_expenditures(financials, w.staged("stg_stategov__accounts_payable"))
+    got = rows(w.fct_expenditures)
+    assert got == rows(after) and w.fct_expenditures.schema == after.schema
+    assert len({r[2] for r in got}) == 3  # of v2 and v3, and none
+
+
+def test_entries_are_shuffled_without_labels_and_parts_of_the_account(spark):
+    w = Warehouse(spark, finance_load(spark), spark.range(0))
+    assert shuffles_with(spark, "gl_entry_id", lambda: w.fct_expenditures) == 2
+    assert shuffles_with(spark, r"gl_entry_id#[^\]]*\bobject_description", lambda: w.fct_expenditures) == 0
+    for model in ("fct_expenditures", "int_financial_transactions"):
+        assert shuffles_with(spark, r"gl_entry_id#[^\]]*\baccount_division_code", lambda: getattr(w, model)) == 0
+
+
+def test_stored_financials_are_read_for_the_expenditures(spark, tmp_path, rows):
+    load = finance_load(spark)
+    stored = Warehouse(spark, load, spark.range(0), store=("int_financial_transactions",), root=str(tmp_path))
+    assert rows(stored.fct_expenditures) == rows(Warehouse(spark, load, spark.range(0)).fct_expenditures)
+    assert (tmp_path / "int_financial_transactions").exists()
